@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import token_store
+from . import bpe, packing, token_store
 from .common import documents
 
 
@@ -20,5 +20,13 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store}
+def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), end_id=0, capacity=2048)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op5_bpe_roundtrip": op5_bpe_roundtrip, "op7_packing": op7_packing}
 SQL: dict[str, str] = {}
