@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, token_store
+from . import bpe, packing, spotsigs, token_store
 from .common import documents
 
 
@@ -28,5 +28,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), end_id=0, capacity=2048)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op5_bpe_roundtrip": op5_bpe_roundtrip, "op7_packing": op7_packing}
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op5_bpe_roundtrip": op5_bpe_roundtrip, "op7_packing": op7_packing, "op9_spotsigs": op9_spotsigs}
 SQL: dict[str, str] = {}
