@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, spotsigs, token_store
-from .common import documents
+from . import bpe, packing, secrets, spotsigs, token_store
+from .common import documents, texts
 
 
 def tokenizer_path(name: str) -> str:
@@ -32,5 +32,9 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op5_bpe_roundtrip": op5_bpe_roundtrip, "op7_packing": op7_packing, "op9_spotsigs": op9_spotsigs}
-SQL: dict[str, str] = {}
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(texts(documents(spark, sf_dir))))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op5_bpe_roundtrip": op5_bpe_roundtrip, "op7_packing": op7_packing, "op9_spotsigs": op9_spotsigs, "op10_secrets": op10_secrets}
+SQL: dict[str, str] = {"op10_secrets": secrets.oracle_sql()}
