@@ -265,7 +265,8 @@ def digest(scanned: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Counts of the base rules' spans, a hash over these spans, and all spans as a string."""
     base = [i for i, r in enumerate(rules) if r.base]
     of_base = F.filter("spans", lambda s: s["rank"].isin(base))
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{rules[i].kind}") for i in base]
+    of_rank = lambda i: lambda s: s["rank"] == i
+    counts = [F.size(F.filter("spans", of_rank(i))).cast("long").alias(f"n_{rules[i].kind}") for i in base]
     return scanned.select("doc_id", *counts, F.sha2(_written(of_base), 256).alias("base_sha256"), _written(F.col("spans")).alias("spans"))
 
 

@@ -97,7 +97,7 @@ class ChunkEncoder:
                 for t in texts[at:end]:
                     for keys in self._slices(t):
                         missing.update(keys)
-                missing.difference_update(self.ids)
+                missing = {k for k in missing if k not in self.ids}
                 if missing:
                     self.learn(missing)
             out += map(self.encode, texts[at:end])
