@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, secrets, spotsigs, token_store
-from .common import documents, texts
+from . import bpe, kdsearch, packing, secrets, spotsigs, token_store
+from .common import documents, texts, tuned
 
 
 def tokenizer_path(name: str) -> str:
@@ -28,6 +28,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), end_id=0, capacity=2048)
 
 
+def op8_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdsearch.top_inner_products(tuned(spark).read.parquet(f"{sf_dir}/embeddings.parquet"), k=5, every=50)
+
+
 def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(documents(spark, sf_dir))
 
@@ -36,5 +40,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(texts(documents(spark, sf_dir))))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op5_bpe_roundtrip": op5_bpe_roundtrip, "op7_packing": op7_packing, "op9_spotsigs": op9_spotsigs, "op10_secrets": op10_secrets}
-SQL: dict[str, str] = {"op10_secrets": secrets.oracle_sql()}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op5_bpe_roundtrip": op5_bpe_roundtrip, "op7_packing": op7_packing, "op8_kd_search": op8_kd_search, "op9_spotsigs": op9_spotsigs, "op10_secrets": op10_secrets}
+SQL: dict[str, str] = {"op8_kd_search": kdsearch.oracle_sql(), "op10_secrets": secrets.oracle_sql()}
