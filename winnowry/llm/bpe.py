@@ -24,6 +24,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -215,6 +216,12 @@ class _Chunks(dict):
         return found
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder: the words it has seen serve the worker's later tasks as well."""
+    return Encoder(path)
+
+
 class Decoder:
     """Texts of ids: every token's bytes, with the space that parts tokens, stand in one string with an offset each."""
 
@@ -250,7 +257,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        enc = Encoder(path)
+        enc = encoder(path)
         dec = Decoder(enc.v)
         for batch in batches:
             counts, codes, decoded = [], [], []
@@ -273,7 +280,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        enc = Encoder(path)
+        enc = encoder(path)
         for batch in batches:
             ids = [np.frombuffer(enc.encode(t), "<i4") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
