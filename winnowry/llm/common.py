@@ -55,9 +55,11 @@ class Scratch:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def drop(self, *names: str) -> None:
+    def drop(self, *names: str, collect: bool = True) -> None:
         for name in names:
             delete(self.spark, self.path(name))
+        if not collect:
+            return
         gc.collect()
         # Spark frees the shuffle files of finished jobs when the JVM has collected their handles.
         self.spark.sparkContext._jvm.System.gc()
