@@ -71,6 +71,17 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Keys are broadcast up to this size, at 32 bytes each.
+BROADCAST_BYTES = 32 << 20
+
+
+def among(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows whose ``on`` is in ``keys`` (distinct, a written table): by broadcast if their size allows, else by a shuffle."""
+    if keys.count() * 32 <= BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    return rows.join(keys, on, "left_semi")
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, kdsearch, neardup, packing, secrets, spotsigs, token_store
+from . import bpe, kdsearch, linededup, neardup, packing, secrets, spotsigs, token_store
 from .common import documents, texts, tuned
 
 
@@ -28,6 +28,10 @@ def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), end_id=0, capacity=2048)
 
@@ -44,5 +48,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(texts(documents(spark, sf_dir))))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op4_minhash": op4_minhash, "op5_bpe_roundtrip": op5_bpe_roundtrip, "op7_packing": op7_packing, "op8_kd_search": op8_kd_search, "op9_spotsigs": op9_spotsigs, "op10_secrets": op10_secrets}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op4_minhash": op4_minhash, "op5_bpe_roundtrip": op5_bpe_roundtrip, "op6_line_dedup": op6_line_dedup, "op7_packing": op7_packing, "op8_kd_search": op8_kd_search, "op9_spotsigs": op9_spotsigs, "op10_secrets": op10_secrets}
 SQL: dict[str, str] = {"op8_kd_search": kdsearch.oracle_sql(), "op10_secrets": secrets.oracle_sql()}
