@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, kdsearch, linededup, neardup, packing, secrets, spotsigs, token_store
+from . import bpe, kdsearch, langid, linededup, neardup, packing, quality, secrets, spotsigs, token_store
 from .common import documents, texts, tuned
 
 
@@ -16,10 +16,20 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents and all pages."""
+    pages = tuned(spark).read.parquet(f"{sf_dir}/pages.parquet")
+    return langid.identify(langid.evidence_of_documents(documents(spark, sf_dir)).unionByName(langid.evidence_of_pages(pages)))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir), words=2, percent=80)
 
@@ -48,5 +58,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(texts(documents(spark, sf_dir))))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op4_minhash": op4_minhash, "op5_bpe_roundtrip": op5_bpe_roundtrip, "op6_line_dedup": op6_line_dedup, "op7_packing": op7_packing, "op8_kd_search": op8_kd_search, "op9_spotsigs": op9_spotsigs, "op10_secrets": op10_secrets}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_langid": op1_langid, "op2_token_store": op2_token_store, "op3_quality": op3_quality, "op4_minhash": op4_minhash, "op5_bpe_roundtrip": op5_bpe_roundtrip, "op6_line_dedup": op6_line_dedup, "op7_packing": op7_packing, "op8_kd_search": op8_kd_search, "op9_spotsigs": op9_spotsigs, "op10_secrets": op10_secrets}
 SQL: dict[str, str] = {"op8_kd_search": kdsearch.oracle_sql(), "op10_secrets": secrets.oracle_sql()}
