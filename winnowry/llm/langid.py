@@ -136,11 +136,20 @@ def likelihoods(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...])
     return rows.select(*keep, "text", "markup").mapInArrow(score, "doc_id long, page_id long, declared string, suffix string, host string, parent string, " + "".join(f"{n} double, " for n in names) + "letters boolean")
 
 
-def _softmax(scores: list[Column]) -> list[Column]:
-    top = F.greatest(*scores)
-    parts = [F.exp(s - top) for s in scores]
-    total = sum(parts[1:], parts[0])
-    return [p / total for p in parts]
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    e = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def _matrix(batch, names: list[str]) -> np.ndarray:
+    """Columns of a batch as doubles, null as 0."""
+    return np.stack([batch.column(c).fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64) for c in names], axis=1) if names else np.zeros((batch.num_rows, 0))
+
+
+def _looked_up(batch, value: str, table: np.ndarray) -> np.ndarray:
+    """The table's rows at a folded value; zeros where it is null."""
+    v = batch.column(value).fill_null(FOLDED).to_numpy(zero_copy_only=False)
+    return np.vstack((table, np.zeros(table.shape[1])))[v]
 
 
 def _folded(c: str) -> Column:
@@ -157,24 +166,17 @@ def _table(rows: DataFrame, value: str, p: list[str]) -> np.ndarray:
     return np.log((counts + 10 * every + 1e-6) / (counts.sum(axis=0, keepdims=True) + 10 + 1e-6 * FOLDED)) - np.log(every + 1e-6)
 
 
-def _looked_up(value: str, table: np.ndarray, i: int) -> Column:
-    """The table's column i at a folded value: an array in the plan, of a fixed length."""
-    return F.coalesce(F.element_at(F.array(*[F.lit(float(x)) for x in table[:, i]]), F.col(value) + 1), F.lit(0.0))
-
-
 def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: float = 0.5) -> DataFrame:
     """doc_id, page_id, lang, confidence, rejected for rows of evidence."""
     scratch = Scratch(rows.sparkSession, "langid")
     n = range(len(languages))
     scored = likelihoods(rows, train(rows, languages), languages).withColumn("d", _folded("declared")).withColumn("x", _folded("suffix"))
     scored = scratch.table(scored, "scored")
-    # First posteriors: the text alone tells how far a declaration is to be trusted
-    p = [f"p{i}" for i in n]
-    text_only = scored.filter("letters")
-    text_only = text_only.select("*", *[c.alias(x) for c, x in zip(_softmax([F.col(f"t{i}") for i in n]), p, strict=True)])
-    declared, suffix = _table(text_only, "d", p), _table(text_only, "x", p)
-    both = [F.col(f"t{i}") + _looked_up("d", declared, i) for i in n]
-    first = scored.select("*", *[c.alias(x) for c, x in zip(_softmax(both), p, strict=True)])
+    t, p, h, q = ([f"{c}{i}" for i in n] for c in "tphq")
+    # The text alone tells how far a declaration is to be trusted
+    told = with_posterior(scored.filter("letters"), t, p, None)
+    declared, suffix = _table(told, "d", p), _table(told, "x", p)
+    first = with_posterior(scored, t, p, declared)
     # Counts by host, parent and all, each level smoothed toward the one above
     # A host that is null stands apart: no row joins it
     hosts = first.filter("host is not null").groupBy("host").agg(F.first("parent").alias("parent"), *[F.sum(x).alias(f"h{i}") for i, x in enumerate(p)])
@@ -187,14 +189,45 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: flo
     known = scratch.table(known, "priors")
     if known.count() * (32 + 16 * len(languages)) <= BROADCAST_BYTES:
         known = F.broadcast(known)
-    joined = first.join(known, "host", "left")
-    own = lambda c, i: F.greatest(F.coalesce(F.col(f"{c}{i}"), F.lit(0.0)) - F.col(f"p{i}"), F.lit(0.0))
-    total = lambda c: sum((own(c, i) for i in n), F.lit(0.0))
-    parent = [(own("q", i) + SMOOTH * whole[i]) / (total("q") + SMOOTH) for i in n]
-    prior = [(own("h", i) + SMOOTH * parent[i]) / (total("h") + SMOOTH) for i in n]
-    post = _softmax([F.col(f"t{i}") + _looked_up("d", declared, i) + _looked_up("x", suffix, i) + F.log(prior[i]) for i in n])
-    named = joined.select("doc_id", "page_id", "letters", F.array_max(F.array(*[F.struct(c.alias("confidence"), F.lit(x).alias("lang")) for c, x in zip(post, languages, strict=True)])).alias("best"))
-    return named.select("doc_id", "page_id", F.col("best.lang").alias("lang"), F.col("best.confidence").alias("confidence"), (~F.col("letters") | (F.col("best.confidence") < least)).alias("rejected"))
+    joined = first.join(known.select("host", *h, *q), "host", "left").select("doc_id", "page_id", "letters", "d", "x", *t, *p, *h, *q)
+    share = np.array(whole)
+
+    def fuse(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = _matrix(batch, p)
+            # a row's own share is no evidence for itself
+            of_parent, of_host = (np.maximum(_matrix(batch, c) - own, 0) for c in (q, h))
+            parent = (of_parent + SMOOTH * share) / (of_parent.sum(axis=1, keepdims=True) + SMOOTH)
+            prior = (of_host + SMOOTH * parent) / (of_host.sum(axis=1, keepdims=True) + SMOOTH)
+            post = _softmax(_matrix(batch, t) + _looked_up(batch, "d", declared) + _looked_up(batch, "x", suffix) + np.log(prior))
+            best = post.argmax(axis=1)
+            sure = post[np.arange(len(best)), best]
+            letters = batch.column("letters").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("page_id"), pa.array([languages[i] for i in best], pa.string()), pa.array(sure), pa.array(~letters | (sure < least))], ["doc_id", "page_id", "lang", "confidence", "rejected"])
+
+    return joined.mapInArrow(fuse, "doc_id long, page_id long, lang string, confidence double, rejected boolean")
+
+
+def with_posterior(scored: DataFrame, t: list[str], p: list[str], declared: np.ndarray | None) -> DataFrame:
+    """Adds the posterior that the text and, if its table is given, the declared language give."""
+    names = scored.columns
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            scores = _matrix(batch, t)
+            if declared is not None:
+                scores = scores + _looked_up(batch, "d", declared)
+            post = _softmax(scores) if batch.num_rows else scores
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(post[:, i]) for i in range(len(p))]], [*names, *p])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in scored.schema.fields)
+    return scored.mapInArrow(run, schema + "".join(f", {c} double" for c in p))
 
 
 def accepted(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: float = 0.5) -> DataFrame:
