@@ -34,6 +34,8 @@ HEADER = struct.Struct("<4sBBxxIIQqII")
 SAMPLE = 64
 #: A shard is closed when it holds so many ids.
 SHARD_IDS = 4_000_000
+#: The rows that say where shards start, at 32 bytes each, are broadcast up to this size.
+BROADCAST_BYTES = 32 << 20
 
 
 class EliasFano:
@@ -146,9 +148,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, glued:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        tok = tokens.load(tokenizer)
-        width = 2 if max(tok.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else 4
-        enc, end = tokens.ChunkEncoder(tok, glued), struct.pack("<I", end_id)
+        enc = tokens.encoder(tokenizer, glued)
+        width = 2 if max(enc.tok.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else 4
+        end = struct.pack("<I", end_id)
         names: list = []
         ids: list[bytes] = []
         count, seq, part = 0, 0, TaskContext.get().partitionId()
@@ -181,10 +183,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """
     schema = "path string, modificationTime timestamp, length long, content binary, part int, seq int, n_ids long"
     files = spark.read.format("binaryFile").schema(schema).load(path)
-    # One row per shard of some megabytes: few enough for one window.
+    # One row per shard of some megabytes: few enough for one window.  The shards' contents stay where they are read
+    # as long as the rows of all shards are few enough to be sent everywhere.
     before = F.sum("n_ids").over(Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1))
     starts = files.select("part", "seq", "n_ids").withColumn("shard_start", F.coalesce(before, F.lit(0)))
-    return files.select("part", "seq", "content").join(starts.select("part", "seq", "shard_start"), ["part", "seq"])
+    starts = starts.select("part", "seq", "shard_start")
+    if starts.count() * 32 <= BROADCAST_BYTES:
+        starts = F.broadcast(starts)
+    return files.select("part", "seq", "content").join(starts, ["part", "seq"])
 
 
 def documents_of(shards: DataFrame) -> DataFrame:

@@ -11,9 +11,10 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 #: Chunks remembered by a worker, at some 150 bytes each.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 #: Characters split at a time, so that a very long text is never held as one list of chunks.
 SLICE = 1 << 20
 
@@ -29,6 +30,12 @@ def load(path: str):
     return tok
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str, glued: bool) -> ChunkEncoder:
+    """The worker's encoder for a tokenizer file: what it has learned serves the worker's later tasks as well."""
+    return ChunkEncoder(load(path), glued)
+
+
 class ChunkEncoder:
     """Ids of texts, as bytes of little-endian unsigned 32-bit integers.
 
