@@ -43,7 +43,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) ->
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        enc, end = tokens.ChunkEncoder(tokens.load(tokenizer), glued=False), struct.pack("<I", end_id)
+        enc, end = tokens.encoder(tokenizer, False), struct.pack("<I", end_id)
         for batch in batches:
             rows: list[tuple] = []
             for d, ids in zip(batch.column("doc_id").to_pylist(), enc.encode_all(batch.column("text").to_pylist()), strict=True):
