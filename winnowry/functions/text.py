@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,7 +17,6 @@ def line_endings(t: Column) -> Column:
 
 def nfc(t: Column) -> Column:
     """Unicode NFC.  Only texts with a code point from U+0300 on can change, and only these go to Python."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def normalized(s: pd.Series) -> pd.Series:

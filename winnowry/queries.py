@@ -1,11 +1,452 @@
-"""Queries over the driver's tables for the curation operators, and the SQL that states the same."""
+"""Queries over the driver's tables for the curation operators, and SQL that states the same for DuckDB.
+
+The raw documents hold few of the things that cleaning and rules are about.  ``DIRTY`` alters each text by doc_id % 12
+in SQL that Spark and DuckDB both run, so that every branch is taken.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import signals as S
+from .functions.hashing import split_of, stable_float, text_hash
+from .functions.text import clean, inspect, json_string, preview, shortened
+from .operators import drift, review, rules, simhash, stats
+from .operators.dedup import dedup, dedup_texts
+from .operators.sampling import offered, reservoir, smallest, with_ordinal
+from .plans.decisions import decide
+from .scratch import Scratch
+from .settings import REASONS, SPLITS, Settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+
+DIRTY = f"""CASE doc_id % 12
+ WHEN 0 THEN replace(text, chr(10), chr(13) || chr(10))
+ WHEN 1 THEN replace(text, ' ', chr(9) || '  ') || ' '
+ WHEN 2 THEN chr(1) || replace(text, 'e', 'e' || chr(31))
+ WHEN 3 THEN replace(text, 'e', 'é')
+ WHEN 4 THEN text || '{chr(0xFFFD) * 3}'
+ WHEN 5 THEN substr(text, 1, 1000) || repeat('​', 10)
+ WHEN 6 THEN substr(text, 1, 10) || repeat('Привет ', 20)
+ WHEN 7 THEN repeat('!?. ', 10)
+ WHEN 8 THEN NULL
+ WHEN 9 THEN 'abcde'
+ WHEN 10 THEN chr(10) || replace(text, chr(10), chr(10) || chr(10) || ' ' || chr(10) || chr(10)) || chr(10)
+ ELSE text || ' <p class=x>see</p> https://a.example/p?q=1 or www.b.example/x, A?b c?d e?f ' END"""
+CAPACITY, SEED = 300, 42
+SETTINGS = Settings(max_documents=CAPACITY, seed=SEED)
+WS, WSL = S.WS, S.WS.removeprefix(r"\n")
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return add
+
+
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def dirty(spark: SparkSession, sf_dir: str, id_sql: str = "CAST(doc_id AS STRING)") -> DataFrame:
+    """seq, id, domain, text."""
+    return raw(spark, sf_dir).selectExpr("doc_id AS seq", f"{id_sql} AS id", "source AS domain", f"{DIRTY} AS text")
+
+
+# What several statements of SQL begin with.
+C_DIRTY = f"dirty AS (SELECT doc_id AS seq, doc_id::VARCHAR AS id, source AS domain, {DIRTY} AS raw FROM documents)"
+_ENDS = "regexp_replace(raw, '\\r\\n?', chr(10), 'g')"
+_PLAIN = f"regexp_replace(nfc_normalize({_ENDS}), '[\\x00-\\x08\\x0b-\\x1f\\x7f-\\x9f]', '', 'g')"
+_LINES = f"regexp_replace(regexp_replace(regexp_replace({_PLAIN}, '[\\t ]+', ' ', 'g'), '(^|\\n) ', '\\1', 'g'), '[{WSL}]+(\\n|\\z)', '\\1', 'g')"
+_CLEAN = f"regexp_replace(regexp_replace({_LINES}, '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\n+|\\n+\\z', '', 'g')"
+C_CLEAN = f"{C_DIRTY}, cleaned AS (SELECT *, {_CLEAN} AS text FROM dirty)"
+
+
+def _count(pattern: str, t: str = "text") -> str:
+    return f"len(regexp_extract_all({t}, '{pattern.replace(chr(39), chr(39) * 2)}'))"
+
+
+_SCRIPTS = "greatest(" + ", ".join(_count(f"[{r}]") for r in S.SCRIPTS.values()) + ")"
+_RULE_SIGNALS = f"""length(text) AS character_count, {_count(S.REPLACEMENT)} AS replacement_char_count, {_count(S.UNUSUAL)} AS unusual_unicode_count,
+ list_max(list_transform(string_split(text, chr(10)), lambda x: length(x))) AS max_line_length,
+ CASE WHEN length(text) > 0 THEN {_SCRIPTS} / length(text) ELSE 0 END::DOUBLE AS non_latin_script_share, len(list_distinct(regexp_extract_all(text, '{S.VNI}'))) AS vni_pattern_count"""
+C_SIGNALS = f"{C_CLEAN}, sig AS (SELECT *, {_RULE_SIGNALS} FROM cleaned)"
+_MET = {
+    "encoding_corruption": "replacement_char_count >= 3",
+    "binary_or_invalid_content": "(character_count > 0 AND unusual_unicode_count >= 8 AND unusual_unicode_count >= 0.005 * character_count)",
+    "foreign_script_dominant": "non_latin_script_share > 0.3",
+    "concatenated_dump": "max_line_length > 20000",
+}
+_INSPECT = f"""CASE WHEN raw IS NULL OR NOT regexp_matches(raw, '[^{WS}]') OR text = '' THEN 'empty_text'
+ WHEN NOT regexp_matches(text, '[\\p{{L}}\\p{{N}}]') THEN 'invalid_text' WHEN length(text) < 20 THEN 'too_short' END"""
+_REASON = f"coalesce({_INSPECT}, CASE WHEN {_MET['encoding_corruption']} THEN 'encoding_corruption' WHEN {_MET['binary_or_invalid_content']} THEN 'binary_or_invalid_content' END)"
+_FLOAT = "(('0x' || substr(sha256({}), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616.0)"
+_SPLIT = f"CASE WHEN u < 0.9 THEN 'train' WHEN u < 0.9::DOUBLE + 0.05::DOUBLE THEN 'validation' ELSE 'test' END"
+C_DECIDED = f"""{C_SIGNALS}, judged AS (SELECT *, {_REASON} AS first_reason FROM sig),
+hashed AS (SELECT *, CASE WHEN first_reason IS NULL THEN sha256(text) END AS text_hash FROM judged),
+ranked AS (SELECT *, CASE WHEN first_reason IS NULL THEN row_number() OVER (PARTITION BY text_hash ORDER BY seq) END AS copy FROM hashed),
+reasoned AS (SELECT *, coalesce(first_reason, CASE WHEN copy > 1 THEN 'duplicate_text' END) AS reason FROM ranked),
+numbered AS (SELECT *, CASE WHEN reason IS NULL THEN row_number() OVER (PARTITION BY reason IS NULL ORDER BY seq) END AS i FROM reasoned),
+slotted AS (SELECT *, CASE WHEN i <= {CAPACITY} THEN i - 1 ELSE floor({_FLOAT.format(f"'reservoir|{SEED}|' || i")} * i)::BIGINT END AS slot, {_FLOAT.format(f"'split|{SEED}|' || id")} AS u FROM numbered),
+decided AS (SELECT *, coalesce(slot < {CAPACITY} AND i = max(i) OVER (PARTITION BY slot), false) AS retained FROM slotted),
+kept AS (SELECT *, {_SPLIT} AS split FROM decided WHERE retained)"""
+
+
+def decided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decide(dirty(spark, sf_dir), SETTINGS)
+
+
+# ---- cleaning and rules
+
+
+@query("clean_text", f"WITH {C_CLEAN} SELECT seq AS doc_id, text AS cleaned FROM cleaned")
+def clean_text(spark, sf_dir):
+    return dirty(spark, sf_dir).select(F.col("seq").alias("doc_id"), clean(F.col("text")).alias("cleaned"))
+
+
+@query("inspect_reason", f"WITH {C_CLEAN} SELECT seq AS doc_id, {_INSPECT} AS reason FROM cleaned")
+def inspect_reason(spark, sf_dir):
+    rows = dirty(spark, sf_dir).withColumn("cleaned", clean(F.col("text")))
+    return rows.select(F.col("seq").alias("doc_id"), inspect(F.col("text"), F.col("cleaned")).alias("reason"))
+
+
+@query("rule_signals", f"WITH {C_SIGNALS} SELECT seq AS doc_id, character_count, replacement_char_count, unusual_unicode_count, max_line_length, non_latin_script_share, vni_pattern_count FROM sig")
+def rule_signals(spark, sf_dir):
+    rows = dirty(spark, sf_dir).select(F.col("seq").alias("doc_id"), clean(F.col("text")).alias("t"))
+    found = S.rule_signals(F.col("t"))
+    # measures of a null text are null, as the text is
+    return rows.select("doc_id", *[F.when(F.col("t").isNotNull(), c).alias(k) for k, c in found.items()])
+
+
+SQL["rule_signals"] = SQL["rule_signals"].replace("non_latin_script_share, vni", "CASE WHEN text IS NOT NULL THEN non_latin_script_share END AS non_latin_script_share, vni")
+
+
+@query("rule_decision", f"WITH {C_SIGNALS} SELECT seq AS doc_id, {', '.join(f'coalesce({v}, false) AS {k}' for k, v in _MET.items())}, {_REASON} AS reason FROM sig")
+def rule_decision(spark, sf_dir):
+    rows = dirty(spark, sf_dir).withColumn("t", clean(F.col("text")))
+    rows = rows.select("seq", "text", "t", *[c.alias(k) for k, c in S.rule_signals(F.col("t")).items()])
+    cols = {k: F.col(k) for k in S.rule_signals(F.col("t"))}
+    met = rules.checks(cols)
+    return rows.select(F.col("seq").alias("doc_id"), *[F.coalesce(c, F.lit(False)).alias(k) for k, c in met.items()], rules.reason_of(F.col("text"), F.col("t"), cols).alias("reason"))
+
+
+_ALL_REASONS = ", ".join(f"('{r}')" for r in REASONS)
+
+
+@query("removal_counts", f"WITH {C_DECIDED} SELECT r.reason, count(d.reason) AS n FROM (VALUES {_ALL_REASONS}) r(reason) LEFT JOIN decided d ON d.reason = r.reason GROUP BY r.reason")
+def removal_counts(spark, sf_dir):
+    return stats.removal_counts(decided(spark, sf_dir))
+
+
+@query("display_texts", """SELECT doc_id, CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '…[truncated]' ELSE text END AS shown,
+ substr(replace(text, chr(10), '\\n'), 1, 200) || CASE WHEN length(text) > 200 OR contains(substr(text, 1, 200), chr(10)) THEN '…' ELSE '' END AS preview, to_json(text)::VARCHAR AS json FROM documents""")
+def display_texts(spark, sf_dir):
+    t = F.col("text")
+    return raw(spark, sf_dir).select("doc_id", shortened(t).alias("shown"), preview(t).alias("preview"), json_string(t).alias("json"))
+
+
+# ---- hashing, splits, deduplication, sampling
+
+
+@query("text_hash", f"SELECT doc_id, sha256(text) AS text_hash, {_FLOAT.format(f"'split|{SEED}|' || doc_id")} AS u FROM documents")
+def text_hashes(spark, sf_dir):
+    return raw(spark, sf_dir).select("doc_id", text_hash(F.col("text")).alias("text_hash"), stable_float("split", SEED, F.col("doc_id")).alias("u"))
+
+
+@query("split_assign", f"SELECT doc_id, {_SPLIT} AS split FROM (SELECT doc_id, {_FLOAT.format(f"'split|{SEED}|' || doc_id")} AS u FROM documents)")
+def split_assign(spark, sf_dir):
+    return raw(spark, sf_dir).select("doc_id", split_of(F.col("doc_id").cast("string"), SEED).alias("split"))
+
+
+_ALL_SPLITS = ", ".join(f"('{s}')" for s in SPLITS)
+
+
+@query("split_counts", f"WITH {C_DECIDED} SELECT s.split, count(k.split) AS n FROM (VALUES {_ALL_SPLITS}) s(split) LEFT JOIN kept k ON k.split = s.split GROUP BY s.split")
+def split_counts(spark, sf_dir):
+    return stats.split_counts(decided(spark, sf_dir))
+
+
+@query("dedup_texts", "SELECT doc_id, CASE WHEN row_number() OVER (PARTITION BY text ORDER BY doc_id) > 1 THEN 'duplicate_text' END AS duplicate FROM documents")
+def dedup_by_text(spark, sf_dir):
+    rows = raw(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("id"), text_hash(F.col("text")).alias("text_hash"))
+    return dedup_texts(rows).select(F.col("seq").alias("doc_id"), "duplicate")
+
+
+@query("dedup_greedy", """WITH RECURSIVE r AS (SELECT row_number() OVER (ORDER BY doc_id) AS k, doc_id, doc_id % 700 AS id, dense_rank() OVER (ORDER BY text) AS h FROM documents),
+ walk AS (SELECT 0::BIGINT AS k, NULL::BIGINT AS doc_id, NULL::VARCHAR AS duplicate, []::BIGINT[] AS ids, []::BIGINT[] AS hs
+  UNION ALL SELECT r.k, r.doc_id, CASE WHEN list_contains(w.ids, r.id) THEN 'duplicate_id' WHEN list_contains(w.hs, r.h) THEN 'duplicate_text' END,
+   CASE WHEN list_contains(w.ids, r.id) OR list_contains(w.hs, r.h) THEN w.ids ELSE list_append(w.ids, r.id) END,
+   CASE WHEN list_contains(w.ids, r.id) OR list_contains(w.hs, r.h) THEN w.hs ELSE list_append(w.hs, r.h) END
+  FROM walk w JOIN r ON r.k = w.k + 1)
+SELECT doc_id, duplicate FROM walk WHERE k > 0""")
+def dedup_greedy(spark, sf_dir):
+    rows = raw(spark, sf_dir).selectExpr("doc_id AS seq", "CAST(doc_id % 700 AS STRING) AS id", "sha2(text, 256) AS text_hash")
+    return dedup(rows).select(F.col("seq").alias("doc_id"), "duplicate")
+
+
+@query("reservoir_sample", f"WITH {C_DECIDED} SELECT slot, i, id, split FROM kept")
+def reservoir_sample(spark, sf_dir):
+    return decided(spark, sf_dir).filter("retained").select("slot", "i", "id", "split")
+
+
+@query("reservoir_offered", f"""WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS i FROM documents),
+ s AS (SELECT *, CASE WHEN i <= 50 THEN i - 1 ELSE floor({_FLOAT.format(f"'reservoir|{SEED}|' || i")} * i)::BIGINT END AS slot FROM n)
+SELECT doc_id, i, slot, i = max(i) OVER (PARTITION BY slot) AS stays FROM s WHERE slot < 50 ORDER BY i LIMIT 80""")
+def reservoir_offered(spark, sf_dir):
+    rows = with_ordinal(raw(spark, sf_dir).select("doc_id"), "doc_id", "i")
+    first = offered(rows, 50, 80, SEED)
+    stays = reservoir(rows, 50, SEED).select("doc_id", F.lit(True).alias("stays"))
+    return first.join(stays, "doc_id", "left").select("doc_id", "i", "slot", F.coalesce("stays", F.lit(False)).alias("stays"))
+
+
+@query("audit_subset", f"SELECT doc_id FROM documents ORDER BY {_FLOAT.format(f"'audit_subset|{SEED}|' || doc_id")}, doc_id LIMIT 100")
+def audit_subset(spark, sf_dir):
+    rows = raw(spark, sf_dir).select("doc_id", F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("pos"))
+    return smallest(rows, "audit_subset", SEED, 100).select("doc_id")
+
+
+# ---- statistics
+
+_Q = ", ".join(f"quantile_cont(character_count, {p}) AS {n}" for n, p in (("median", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99)))
+
+
+@query("length_stats", f"WITH {C_DECIDED} SELECT count(*) AS count, min(character_count) AS min, max(character_count) AS max, sum(character_count)::DOUBLE / count(*) AS mean, {_Q} FROM kept")
+def length_stats(spark, sf_dir):
+    return stats.length_summary(decided(spark, sf_dir).filter("retained"))
+
+
+@query("length_histogram", "SELECT b.bin, count(d.doc_id) AS n FROM (SELECT unnest(range(10)) AS bin) b LEFT JOIN documents d ON least(length(d.text) // 1000, 9) = b.bin GROUP BY b.bin")
+def length_histogram(spark, sf_dir):
+    return stats.length_histogram(raw(spark, sf_dir).select(F.length("text").alias("character_count")))
+
+
+@query("domain_distribution", f"WITH {C_DECIDED} SELECT domain, count(*) AS inspected, count(*) FILTER (reason IS NULL) AS accepted FROM decided GROUP BY domain")
+def domain_distribution(spark, sf_dir):
+    return stats.domain_distribution(decided(spark, sf_dir))
+
+
+@query("run_stats", f"""WITH {C_DECIDED} SELECT count(*) AS inspected, count(*) FILTER (reason IS NULL) AS candidates, count(reason) AS rejected, count(*) FILTER (retained) AS retained,
+ count(*) FILTER (reason IS NULL AND NOT retained) AS sampled_out, count(*) FILTER (reason LIKE 'duplicate%') AS duplicates FROM decided""")
+def run_stats(spark, sf_dir):
+    return stats.run_stats(decided(spark, sf_dir))
+
+
+@query("rejected_examples", f"""WITH {C_DECIDED} SELECT reason, place, seq, id FROM (SELECT *, row_number() OVER (PARTITION BY reason ORDER BY seq)::INTEGER AS place FROM decided
+ WHERE reason IS NOT NULL AND reason NOT LIKE 'duplicate%') WHERE place <= 20""")
+def rejected_examples(spark, sf_dir):
+    return stats.rejected_examples(decided(spark, sf_dir)).select("reason", "place", "seq", "id")
+
+
+_POPS = ("inspected", "accepted", "retained", *SPLITS)
+_DRIFT = f"""{C_DECIDED}, dist AS (SELECT domain, count(*) AS inspected_n, count(*) FILTER (reason IS NULL) AS accepted_n FROM decided GROUP BY domain),
+ret AS (SELECT domain, count(*) AS retained_n, {', '.join(f"count(*) FILTER (split = '{s}') AS {s}_n" for s in SPLITS)} FROM kept GROUP BY domain),
+n AS (SELECT coalesce(d.domain, r.domain) AS domain, {', '.join(f'coalesce({p}_n, 0) AS {p}_n' for p in _POPS)} FROM dist d FULL JOIN ret r ON d.domain = r.domain),
+t AS (SELECT {', '.join(f'sum({p}_n)::BIGINT AS {p}_t' for p in _POPS)} FROM n),
+pct AS (SELECT n.*, {', '.join(f'CASE WHEN {p}_t > 0 THEN 100.0::DOUBLE * {p}_n / {p}_t ELSE 0 END AS {p}_pct' for p in _POPS)} FROM n, t),
+drift AS (SELECT *, retained_pct - inspected_pct AS drift_pp, greatest({', '.join(f'abs({s}_pct - retained_pct)' for s in SPLITS)}) AS max_split_drift_pp FROM pct)"""
+
+
+def _drift(spark, sf_dir):
+    d = Scratch(spark, "drift").table(decided(spark, sf_dir).select("domain", "reason", "retained", "split"), "decided")
+    return drift.domain_drift(stats.domain_distribution(d), d.filter("retained").select("domain", "split"))
+
+
+@query("domain_drift", f"WITH {_DRIFT} SELECT domain, {', '.join(f'{p}_n, {p}_pct' for p in _POPS)}, drift_pp, max_split_drift_pp FROM drift")
+def domain_drift(spark, sf_dir):
+    return _drift(spark, sf_dir)
+
+
+@query("worst_drift", f"WITH {_DRIFT} SELECT domain, drift_pp FROM drift ORDER BY abs(drift_pp) DESC, domain LIMIT 1")
+def worst_drift(spark, sf_dir):
+    return drift.worst(_drift(spark, sf_dir))
+
+
+# ---- audit
+
+_AUDIT_TEXT = f"SELECT seq AS doc_id, coalesce(text, '') AS text FROM cleaned UNION ALL SELECT 1000000000 + page_id, html FROM pages"
+_UNITS = f"""lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS u FROM a), pars AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\\n[ \\t]*\\n')) AS u FROM a),
+toks AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[{WS}]+'), lambda x: x <> '')[1:5000] AS w FROM a),
+grams AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || chr(7) || w[i+1] || chr(7) || w[i+2])) AS u FROM toks WHERE len(w) >= 3)"""
+
+
+def _rep(name: str, where: str, over: str) -> str:
+    return f"{name}_r AS (SELECT doc_id, coalesce(sum(c) FILTER (c > 1), 0)::DOUBLE / {over} AS r, sum(c)::BIGINT AS n FROM (SELECT doc_id, u, count(*) AS c FROM {name} {where} GROUP BY doc_id, u) GROUP BY doc_id)"
+
+
+def _audited(spark, sf_dir) -> DataFrame:
+    docs = dirty(spark, sf_dir).select(F.col("seq").alias("doc_id"), F.coalesce(clean(F.col("text")), F.lit("")).alias("text"))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select((F.lit(1_000_000_000) + F.col("page_id")).alias("doc_id"), F.col("html").alias("text"))
+    return S.audit_signals(docs.unionByName(pages))
+
+
+def _ratio(n: str) -> str:
+    return f"CASE WHEN length(text) > 0 THEN ({n})::DOUBLE / length(text) ELSE 0 END"
+
+
+_VI = f"({_count(S.VIETNAMESE)} + {_count('\\p{M}')})"
+
+
+@query("quality_signals_chars", f"""WITH {C_CLEAN}, a AS ({_AUDIT_TEXT}) SELECT doc_id, length(text) AS character_count, {_ratio(_count('\\p{L}'))} AS alpha_ratio, {_ratio(_count('\\p{N}'))} AS digit_ratio,
+ {_ratio(_count('[ \\t\\n\\p{Zs}]'))} AS whitespace_ratio, {_ratio(_count('\\p{P}'))} AS punctuation_ratio, {_count(S.REPLACEMENT)} AS replacement_char_count, {_count(S.UNUSUAL_AUDIT)} AS unusual_unicode_count,
+ {_VI} AS vietnamese_char_count, {_ratio(_VI)} AS vietnamese_diacritic_ratio, {_ratio(_SCRIPTS)} AS non_latin_script_share, len(list_distinct(regexp_extract_all(text, '{S.VNI}'))) AS vni_pattern_count FROM a""")
+def quality_signals_chars(spark, sf_dir):
+    return _audited(spark, sf_dir).select("doc_id", "character_count", "alpha_ratio", "digit_ratio", "whitespace_ratio", "punctuation_ratio", "replacement_char_count", "unusual_unicode_count", "vietnamese_char_count", "vietnamese_diacritic_ratio", "non_latin_script_share", "vni_pattern_count")
+
+
+_URL = S.URL.replace("'", "''").replace('\\"', '"')
+
+
+@query("quality_signals_units", f"""WITH {C_CLEAN}, a AS ({_AUDIT_TEXT}) SELECT doc_id, len(string_split(text, chr(10))) AS line_count,
+ len(list_filter(regexp_split_to_array(text, '\\n[ \\t]*\\n'), lambda x: regexp_matches(x, '[^{WS}]'))) AS paragraph_count, len(regexp_extract_all(text, '{_URL}')) AS url_count,
+ {_ratio(f"coalesce(list_sum(list_transform(regexp_extract_all(text, '{_URL}'), lambda x: length(x))), 0)")} AS url_char_ratio, {_count(S.TAG)} AS html_tag_count,
+ list_max(list_transform(string_split(text, chr(10)), lambda x: length(x))) AS max_line_length FROM a""")
+def quality_signals_units(spark, sf_dir):
+    return _audited(spark, sf_dir).select("doc_id", "line_count", "paragraph_count", "url_count", "url_char_ratio", "html_tag_count", "max_line_length")
+
+
+@query("quality_signals_repetition", f"""WITH {C_CLEAN}, a AS ({_AUDIT_TEXT}), {_UNITS}, {_rep('lines', f"WHERE regexp_matches(u, '[^{WS}]')", 'sum(c)')}, {_rep('pars', f"WHERE regexp_matches(u, '[^{WS}]')", 'sum(c)')}, {_rep('grams', '', 'count(*)')}
+SELECT a.doc_id, coalesce(l.r, 0) AS repeated_line_ratio, coalesce(p.r, 0) AS repeated_paragraph_ratio, coalesce(g.r, 0) AS repeated_ngram_ratio
+FROM a LEFT JOIN lines_r l USING (doc_id) LEFT JOIN pars_r p USING (doc_id) LEFT JOIN grams_r g USING (doc_id)""")
+def quality_signals_repetition(spark, sf_dir):
+    return _audited(spark, sf_dir).select("doc_id", "repeated_line_ratio", "repeated_paragraph_ratio", "repeated_ngram_ratio")
+
+
+def _release(spark, sf_dir) -> DataFrame:
+    """Cleaned documents as an audit reads them, with their signals."""
+    rows = dirty(spark, sf_dir).select(F.col("seq").alias("pos"), "id", "domain", split_of(F.col("id"), SEED).alias("split"), F.coalesce(clean(F.col("text")), F.lit("")).alias("text"))
+    return Scratch(spark, "audit").table(S.audit_signals(rows), "signals")
+
+
+_SIX = lambda c: f"round({c}, 6)"
+C_AUDIT = f"""{C_CLEAN}, a AS (SELECT seq AS pos, seq AS doc_id, id, domain, coalesce(text, '') AS text, raw FROM cleaned), {_UNITS}, {_rep('lines', f"WHERE regexp_matches(u, '[^{WS}]')", 'sum(c)')},
+m AS (SELECT a.*, length(text) AS character_count, len(string_split(text, chr(10))) AS line_count, {_ratio(f"coalesce(list_sum(list_transform(regexp_extract_all(text, '{_URL}'), lambda x: length(x))), 0)")} AS url_char_ratio, coalesce(l.r, 0) AS repeated_line_ratio,
+ {_ratio(_count('\\p{P}'))} AS punctuation_ratio, {_ratio(_count('\\p{L}'))} AS alpha_ratio, {_count(S.UNUSUAL_AUDIT)} AS unusual_unicode_count, {_count(S.TAG)} AS html_tag_count, {_ratio(_VI)} AS vietnamese_diacritic_ratio,
+ {_count(S.REPLACEMENT)} AS replacement_char_count, len(list_distinct(regexp_extract_all(text, '{S.VNI}'))) AS vni_pattern_count, {_ratio(_SCRIPTS)} AS non_latin_script_share,
+ list_max(list_transform(string_split(text, chr(10)), lambda x: length(x))) AS max_line_length FROM a LEFT JOIN lines_r l USING (doc_id))"""
+_PICKS = " UNION ALL ".join(
+    [f"(SELECT id, 'random' AS name FROM m ORDER BY {_FLOAT.format(f"'audit_random|{SEED}|' || id")}, pos LIMIT 100)"]
+    + [f"(SELECT id, '{n}' AS name FROM m ORDER BY {_SIX(c) if c.endswith('_ratio') else c} {'DESC' if d else 'ASC'}, pos LIMIT {k})" for n, (c, d, k) in review.SELECTIONS.items()]
+)
+
+
+@query("audit_samples", f"WITH {C_AUDIT} SELECT id, string_agg(name, '|' ORDER BY name) AS reasons FROM ({_PICKS}) GROUP BY id")
+def audit_samples(spark, sf_dir):
+    return review.audit_samples(_release(spark, sf_dir), SEED).select("id", "reasons")
+
+
+@query("longest_docs", f"WITH {C_AUDIT} SELECT row_number() OVER (ORDER BY character_count DESC, pos)::INTEGER AS rank, id, character_count, line_count FROM m ORDER BY rank LIMIT 15")
+def longest_docs(spark, sf_dir):
+    return review.longest(_release(spark, sf_dir)).select("rank", "id", "character_count", "line_count")
+
+
+_FLAGS = {
+    "very_low_vietnamese": f"{_SIX('vietnamese_diacritic_ratio')} < 0.001", "low_vietnamese": f"{_SIX('vietnamese_diacritic_ratio')} < 0.05", "low_alpha": f"{_SIX('alpha_ratio')} < 0.5",
+    "replacement_chars": "replacement_char_count >= 1", "unusual_unicode": "unusual_unicode_count >= 1", "vni_pattern": "vni_pattern_count >= 3", **_MET,
+    "extreme_length_few_lines": "character_count > 100000 AND line_count < 100",
+}
+C_REVIEW = f"""{C_AUDIT}, f AS (SELECT id, list_sort(list_filter([{', '.join(f"CASE WHEN {v} THEN '{k}' END" for k, v in _FLAGS.items())}], lambda x: x IS NOT NULL)) AS fl,
+ CASE WHEN {_MET['encoding_corruption']} OR {_MET['binary_or_invalid_content']} THEN 'reject' ELSE 'review' END AS proposed FROM m), packet AS (SELECT * FROM f WHERE len(fl) > 0)"""
+
+
+@query("review_packet", f"WITH {C_REVIEW} SELECT id, array_to_string(fl, '|') AS signals, proposed FROM packet")
+def review_packet(spark, sf_dir):
+    return review.review_packet(_release(spark, sf_dir)).select("id", "signals", "proposed")
+
+
+@query("review_by_signal", f"WITH {C_REVIEW} SELECT signal, count(*) AS documents, count(*) FILTER (proposed = 'reject') AS proposed_reject FROM (SELECT unnest(fl) AS signal, proposed FROM packet) GROUP BY signal")
+def review_by_signal(spark, sf_dir):
+    return review.by_signal(review.review_packet(_release(spark, sf_dir)))
+
+
+# ---- near duplicates
+
+C_PRINTS = """u AS (SELECT min(doc_id) AS id, text FROM documents GROUP BY text),
+g AS (SELECT id, unnest(list_distinct(list_transform(range(1, greatest(length(text) - 3, 1) + 1), lambda i: substr(text, i, 4)))) AS gram FROM u),
+d AS (SELECT gram, ('0x' || substr(sha256('simhash|42|' || gram), 1, 16))::UBIGINT AS h FROM (SELECT DISTINCT gram FROM g)),
+v AS (SELECT g.id, b, sum(((d.h >> b::UBIGINT) & 1)::BIGINT) AS ones, count(*) AS n FROM g JOIN d USING (gram), (SELECT unnest(range(64)) AS b) GROUP BY g.id, b),
+p AS (SELECT id, sum(CASE WHEN 2 * ones > n THEN (1::HUGEINT << b::INTEGER) ELSE 0 END)::HUGEINT AS f FROM v GROUP BY id),
+prints AS (SELECT id, (CASE WHEN f >= 9223372036854775808::HUGEINT THEN f - 18446744073709551616::HUGEINT ELSE f END)::BIGINT AS fp FROM p)"""
+C_PAIRS = f"""{C_PRINTS}, keys AS (SELECT id, fp, b, (fp >> (16 * b)) & 65535 AS k FROM prints, (SELECT unnest(range(4))::INTEGER AS b)),
+pairs AS (SELECT DISTINCT x.id AS id_a, y.id AS id_b, bit_count(xor(x.fp, y.fp))::INTEGER AS distance FROM keys x JOIN keys y ON x.b = y.b AND x.k = y.k AND x.id < y.id WHERE bit_count(xor(x.fp, y.fp)) <= 3)"""
+
+
+def _distinct_docs(spark, sf_dir) -> DataFrame:
+    first = raw(spark, sf_dir).groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("id"))
+    docs = raw(spark, sf_dir)
+    return docs.join(first.select("id"), docs["doc_id"] == first["id"]).select("id", F.lit("train").alias("split"), "text")
+
+
+def _prints(spark, sf_dir) -> DataFrame:
+    return Scratch(spark, "prints").table(_distinct_docs(spark, sf_dir).select("id", simhash.fingerprint(F.col("text"), SEED).alias("fp")), "prints")
+
+
+@query("simhash", f"WITH {C_PRINTS} SELECT id, fp FROM prints")
+def simhash_prints(spark, sf_dir):
+    return _distinct_docs(spark, sf_dir).select("id", simhash.fingerprint(F.col("text"), SEED).alias("fp"))
+
+
+_SET = "list_distinct(list_transform(range(1, greatest(length(text) - 3, 1) + 1), lambda i: substr(text, i, 4)))"
+
+
+@query("near_dup_pairs", f"""WITH {C_PAIRS}, s AS (SELECT id, {_SET} AS s FROM u), j AS (SELECT pairs.*, len(list_intersect(a.s, b.s)) AS both, len(a.s) AS na, len(b.s) AS nb FROM pairs JOIN s a ON a.id = id_a JOIN s b ON b.id = id_b)
+SELECT id_a, id_b, distance, both::DOUBLE / (na + nb - both) AS jaccard FROM j""")
+def near_dup_pairs(spark, sf_dir):
+    docs = _distinct_docs(spark, sf_dir)
+    return simhash.with_jaccard(simhash.pairs(_prints(spark, sf_dir)), docs).select("id_a", "id_b", "distance", "jaccard")
+
+
+@query("near_dup_clusters", f"""WITH RECURSIVE {C_PAIRS}, e AS (SELECT id_a AS x, id_b AS y FROM pairs UNION ALL SELECT id_b, id_a FROM pairs),
+reach AS (SELECT x AS id, x AS r FROM e UNION SELECT reach.id, e.y FROM reach JOIN e ON e.x = reach.r),
+label AS (SELECT id, min(r) AS label FROM reach GROUP BY id) SELECT id, label, count(*) OVER (PARTITION BY label) AS size FROM label""")
+def near_dup_clusters(spark, sf_dir):
+    found = simhash.with_jaccard(simhash.pairs(_prints(spark, sf_dir)), _distinct_docs(spark, sf_dir))
+    grouped = Scratch(spark, "clusters").table(simhash.clusters(found), "clusters")
+    label = grouped.groupBy("cluster").agg(F.min("id").alias("label"))
+    return grouped.join(label, "cluster").select("id", "label", "size")
+
+
+# ---- release checks
+
+
+@query("release_uniqueness", """WITH r AS (SELECT 'even' AS split, (doc_id % 300)::VARCHAR AS id, text FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT 'odd', (doc_id % 300)::VARCHAR, text FROM documents WHERE doc_id % 2 = 1)
+SELECT coalesce(split, 'all') AS split, count(*) AS rows, count(*) - count(DISTINCT id) AS extra_ids, count(*) - count(DISTINCT text) AS extra_hashes FROM r GROUP BY GROUPING SETS ((split), ())""")
+def release_uniqueness(spark, sf_dir):
+    return stats.uniqueness(raw(spark, sf_dir).selectExpr("CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS split", "CAST(doc_id % 300 AS STRING) AS id", "sha2(text, 256) AS text_hash"))
+
+
+@query("round_trip_mismatches", "SELECT count(*) FILTER (doc_id % 97 = 0) AS mismatches FROM documents")
+def round_trip_mismatches(spark, sf_dir):
+    from .plans.release import mismatches
+
+    rows = raw(spark, sf_dir).select(F.col("doc_id").alias("line"), "text")
+    lines = rows.select("line", F.when(F.col("line") % 97 == 0, F.concat("text", F.lit("."))).otherwise(F.col("text")).alias("t")).select("line", json_string(F.col("t")).alias("value"))
+    return mismatches(lines, rows)
+
+
+_TOKENS = "CASE doc_id % 9 WHEN 0 THEN text || ' hf_' || repeat('aB3', 8) WHEN 1 THEN text || ' see /Users/some.one-x/y' WHEN 2 THEN 'ghp_' || repeat('Z', 20) || ' sk-' || repeat('q1', 12) WHEN 3 THEN text || ' .venv/bin hf_short' ELSE text END"
+
+
+def _secret_sql() -> str:
+    from .plans.publish import LOCAL_PATHS, TOKENS
+
+    parts = [f"SELECT doc_id, '{k}' AS kind, unnest(regexp_extract_all(t, '{p}')) AS hit FROM x" for k, ps in (("token", TOKENS), ("local_path", LOCAL_PATHS)) for p in ps]
+    return f"WITH x AS (SELECT doc_id, {_TOKENS} AS t FROM documents), h AS ({' UNION ALL '.join(parts)}) SELECT doc_id, kind, CASE WHEN kind = 'token' THEN substr(hit, 1, 6) || '...' || right(hit, 4) ELSE hit END AS hit FROM h"
+
+
+@query("secret_scan")
+def secret_scan(spark, sf_dir):
+    from .plans.publish import scan_table
+
+    return scan_table(raw(spark, sf_dir).selectExpr("doc_id", f"{_TOKENS} AS text"), "doc_id", ["text"]).select("doc_id", "kind", "hit")
+
+
+SQL["secret_scan"] = _secret_sql()
