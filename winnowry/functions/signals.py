@@ -78,29 +78,26 @@ def _not_blank(units: Column) -> Column:
     return F.filter(units, lambda x: x.rlike(rf"[^{WS}]"))
 
 
-def _repeated(units: Column) -> Column:
-    """How many of the units occur more than once: of a sorted list, those equal to a neighbour."""
-    s = F.array_sort(units)
-    n = F.size(s)
-    same = lambda x, i: ((i > 0) & (F.get(s, i - 1) == x)) | ((i < n - 1) & (F.get(s, i + 1) == x))
-    return F.size(F.filter(s, same))
+def _runs(units: Column) -> Column:
+    """Of a list: ``repeated``, how many units occur more than once, and ``distinct``.  One pass over the sorted list."""
+    zero = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("repeated"), F.lit(0).alias("distinct"))
+
+    def step(acc, x):
+        same = x.eqNullSafe(acc["last"])
+        more = F.when(same & (acc["run"] == 1), 2).when(same, 1).otherwise(0)
+        return F.struct(x.alias("last"), F.when(same, acc["run"] + 1).otherwise(1).alias("run"), (acc["repeated"] + more).alias("repeated"), (acc["distinct"] + F.when(same, 0).otherwise(1)).alias("distinct"))
+
+    return F.aggregate(F.sort_array(units), zero, step)
 
 
 def repetition_ratio(units: Column) -> Column:
-    return F.when(F.size(units) > 0, _repeated(units) / F.size(units)).otherwise(F.lit(0.0))
+    return F.when(F.size(units) > 0, _runs(units)["repeated"] / F.size(units)).otherwise(F.lit(0.0))
 
 
 def tokens(t: Column, cap: int = TOKEN_CAP) -> Column:
     return F.slice(F.filter(F.split(t, f"[{WS}]+", -1), lambda x: x != ""), 1, cap)
 
 
-def ngram_ratio(t: Column, n: int = 3, cap: int = TOKEN_CAP) -> Column:
-    """Runs of ``n`` words that are repeated, over distinct runs: can exceed 1."""
-    w = tokens(t, cap)
-    grams = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), "\x00"))
-    return F.when(F.size(w) >= n, _repeated(grams) / F.size(F.array_distinct(grams))).otherwise(F.lit(0.0))
-
-
 #: The audit's measures in order; those that end in _ratio are doubles.
 SIGNALS = (
     "character_count line_count paragraph_count url_count url_char_ratio repeated_line_ratio repeated_paragraph_ratio alpha_ratio digit_ratio "
@@ -116,7 +113,9 @@ def audit_signals(df: DataFrame, text: str = "text") -> DataFrame:
     """
     t = F.col(text)
     rows = df.withColumn("_lines", F.split(t, "\n", -1)).withColumn("_paragraphs", _not_blank(F.split(t, PARAGRAPH, -1))).withColumn("_urls", F.regexp_extract_all(t, F.lit(URL), F.lit(0))).withColumn("_words", tokens(t))
-    rows = rows.withColumn("_grams", F.when(F.size("_words") >= 3, F.transform(F.sequence(F.lit(1), F.size("_words") - 2), lambda i: F.array_join(F.slice("_words", i, F.lit(3)), "\x00"))))
+    # of runs of three words the repeated ones over the distinct ones: can exceed 1
+    grams = F.transform(F.sequence(F.lit(1), F.size("_words") - 2), lambda i: F.array_join(F.slice("_words", i, F.lit(3)), "\x00"))
+    rows = rows.withColumn("_gram_runs", F.when(F.size("_words") >= 3, _runs(grams)))
     full = _not_blank(F.col("_lines"))
     diacritics = count(t, VIETNAMESE) + count(t, r"\p{M}")
     made = {
@@ -137,7 +136,7 @@ def audit_signals(df: DataFrame, text: str = "text") -> DataFrame:
         "unusual_unicode_count": count(t, UNUSUAL_AUDIT),
         "vietnamese_char_count": diacritics,
         "vietnamese_diacritic_ratio": share(diacritics, t),
-        "repeated_ngram_ratio": F.when(F.col("_grams").isNotNull(), _repeated(F.col("_grams")) / F.size(F.array_distinct("_grams"))).otherwise(F.lit(0.0)),
+        "repeated_ngram_ratio": F.when(F.col("_gram_runs").isNotNull(), F.col("_gram_runs.repeated") / F.col("_gram_runs.distinct")).otherwise(F.lit(0.0)),
         "non_latin_script_share": non_latin_share(t),
         "vni_pattern_count": vni_count(t),
     }

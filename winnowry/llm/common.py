@@ -2,67 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import gc
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch handed to Python: texts may be long, so a batch holds few of them.
-ARROW_ROWS = 512
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir.
-
-    Where it is unset (tests, local mode) the session's checkpoint folder, or else a new temporary one, is used.
-    """
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="winnowry-")
-        spark.sparkContext.setCheckpointDir(found)
-        found = spark.sparkContext.getCheckpointDir() or found
-    return found.rstrip("/")
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a folder of a Hadoop file system, if the session still runs."""
-    with contextlib.suppress(Exception):
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+from ..scratch import Scratch, delete, shared_dir
 
+__all__ = ["Scratch", "delete", "shared_dir"]
 
-class Scratch:
-    """Tables written to the shared folder, which cut lineage and outlive lost executors.
-
-    ``drop`` removes those that nothing later reads; what remains goes when the driver's Python ends.
-    """
-
-    def __init__(self, spark: SparkSession, tag: str):
-        self.spark, self.base = spark, f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
-        atexit.register(delete, spark, self.base)
-
-    def path(self, name: str) -> str:
-        return f"{self.base}/{name}"
-
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
-
-    def drop(self, *names: str, collect: bool = True) -> None:
-        for name in names:
-            delete(self.spark, self.path(name))
-        if not collect:
-            return
-        gc.collect()
-        # Spark frees the shuffle files of finished jobs when the JVM has collected their handles.
-        self.spark.sparkContext._jvm.System.gc()
+#: Rows in an Arrow batch handed to Python: texts may be long, so a batch holds few of them.
+ARROW_ROWS = 512
 
 
 def tuned(spark: SparkSession) -> SparkSession:

@@ -81,8 +81,15 @@ def minima_of(lines: list[str], mh: links.MinHash) -> np.ndarray:
     return out
 
 
-def shingle_set(line: str) -> set[str]:
-    return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
+def shingle_hashes(line: str) -> np.ndarray:
+    """The set of a line's shingles, as sorted distinct 64-bit hashes."""
+    chars = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = min(SHINGLE, len(chars))
+    h = np.zeros(max(0, len(chars) - n + 1), np.uint64)
+    for k in range(n):
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + chars[k : len(chars) - n + 1 + k] + np.uint64(1)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return np.unique(h ^ (h >> np.uint64(31)))
 
 
 def _line_hash():
@@ -124,37 +131,17 @@ def repeated_lines(rows: DataFrame, threshold: float, min_chars: int, shape: lin
         h = _line_hash()
         for batch in batches:
             found = {h(n)[0]: n for text in batch.column("_text").to_pylist() for _, n in eligible(text, min_chars)}
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], ["id", "line"])
-
-    def verify(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = scratch.table(pairs, f"{name}-pairs")
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        needed = among(rows.select("_text").mapInArrow(lines, "id long, line string"), scratch.table(ids, f"{name}-ids"), "id")
-        needed = scratch.table(needed.dropDuplicates(["id"]), f"{name}-lines")
-
-        def run(batches: Iterator) -> Iterator:
-            import pyarrow as pa
-
-            last, a = None, set()
-            for batch in batches:
-                ok = []
-                for x, y in zip(batch.column("la").to_pylist(), batch.column("lb").to_pylist(), strict=True):
-                    if x != last:
-                        last, a = x, shingle_set(x)
-                    b = shingle_set(y)
-                    both = len(a & b)
-                    ok.append(both >= threshold * (len(a) + len(b) - both) - 1e-9)
-                yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-        with_b = pairs.join(needed.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b")
-        both = with_b.join(needed.select(F.col("id").alias("a"), F.col("line").alias("la")), "a")
-        return both.select("a", "b", "la", "lb").mapInArrow(run, "a long, b long")
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], ["id", "text"])
+
+    def fetch(ids: DataFrame, name: str) -> DataFrame:
+        return among(rows.select("_text").mapInArrow(lines, "id long, text string"), ids, "id").dropDuplicates(["id"])
 
     seen = scratch.table(rows.mapInArrow(occurrences, "_id long, _row long, _line int, h1 long, h2 long"), "seen")
     made = links.band(rows.select("_text"), sketcher, shape, {}, scratch)
     members = made.filter(F.col("kind") == links.UNDER_KEY).select("key", "id", "pivot")
     signatures = made.filter(F.col("kind") == links.ITEM).dropDuplicates(["id"])
-    labels = links.groups(members, signatures, shape, threshold, verify, scratch)
+    reached = lambda m, n, both: both >= threshold * (m + n - both) - 1e-9
+    labels = links.groups(members, signatures, shape, threshold, fetch, lambda: shingle_hashes, reached, scratch)
     # A class that has no link stands for itself, by both halves of its hash
     group = [F.coalesce("label", "h1").alias("g1"), F.when(F.col("label").isNull(), F.col("h2")).otherwise(F.lit(0)).alias("g2")]
     placed = seen.join(labels.withColumnRenamed("id", "h1"), "h1", "left").select("_id", "_row", "_line", *group)

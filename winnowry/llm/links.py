@@ -3,13 +3,15 @@
 Banding without pairs within a group.  The task that makes signatures keeps, of all items of an Arrow batch that share
 a band key, one pivot for that key's shuffle; the others are linked to the pivot at once and travel by themselves.  So
 a key held by a third of all items sends one row for each batch, not one for each item.  Behind the shuffle, a key's
-pivots are linked to the first of them.  These stars are verified, and what is linked gets one label by connected
-components.
-
-Stars alone could miss a link between two items neither of which is linked to their pivot.  So keys whose items still
-have different labels are taken up again: items outside a key's largest label meet all items of other labels, in
-blocks, and pairs whose signatures allow the threshold are verified too.  No pair of items of one label is ever
-looked at, so a large group of copies costs as many pairs as it has members.
+pivots are linked to one of them.  Pivots are picked at random by key, so an item meets many partners; the likeliest
+few by signature are verified, and what is linked gets one label by connected components.
+
+This leaves out pairs, so keys whose items still have different labels are taken up again.  First each item outside a
+key's largest label is verified against the likeliest of all it meets there, a few pairs for each item.  Then, where an
+item's signature is near that of an item of another label, the item (of the smaller label) is compared with all items
+of that label, on full sets, in blocks of bounded size: what is shuffled is one row for each item and label, and an
+item's set once for each block of others.  No pair of items of one label is ever looked at.  After that every pair under a common key
+whose signatures allow the threshold is either in one label or known not to be linked.
 """
 
 from __future__ import annotations
@@ -20,11 +22,15 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from ..operators.graph import components
 from .common import Scratch, partitions
 
-#: Items of a key that stand in one block when labels are compared.
-BLOCK = 2048
+#: Items of a key, or of a label, that stand in one block when labels are compared; items that ask at a time.
+BLOCK, ASKING = 2048, 256
+#: Pivots of an item that are verified at first.
+PARTNERS = 4
 
 
 @dataclass(frozen=True)
@@ -55,6 +61,12 @@ class Shape:
         agree = 1 - differ / F.lit(float(self.minima))
         return (agree - 0.25) / 0.75
 
+    def estimates(self, one: np.ndarray, many: np.ndarray) -> np.ndarray:
+        """As likeness, of one packed signature with each of many."""
+        x = many ^ one
+        differ = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
+        return (1 - differ / self.minima - 0.25) / 0.75
+
     def least_estimate(self, threshold: float) -> float:
         """What the estimate of a pair at the threshold stays above, but for about one pair in a billion."""
         agree = 0.25 + 0.75 * threshold
@@ -131,7 +143,7 @@ def band(rows: DataFrame, sketcher: Callable[[], Sketcher], shape: Shape, extra:
             with_set = np.flatnonzero(minima.any(axis=1)) if minima.size else np.zeros(0, int)
             keys = mh.keys(minima[with_set]).ravel()
             owner = np.repeat(ids[with_set], shape.bands)
-            order = np.lexsort((owner, keys))
+            order = np.lexsort((owner, _mixed(keys ^ owner.view(np.uint64)), keys))
             keys, owner = keys[order], owner[order]
             new = np.ones(len(keys), bool)
             new[1:] = keys[1:] != keys[:-1]
@@ -156,7 +168,7 @@ def band(rows: DataFrame, sketcher: Callable[[], Sketcher], shape: Shape, extra:
             )
 
     def reduce(batches: Iterator) -> Iterator:
-        """Rows of a key stand together, ids ascending.  A key with one id is left out unless others wait behind that id."""
+        """Rows of a key stand together in an order by chance.  A key with one id is left out unless others wait behind that id."""
         import pyarrow as pa
 
         key = first = last = None  # of the run that goes on
@@ -204,78 +216,222 @@ def band(rows: DataFrame, sketcher: Callable[[], Sketcher], shape: Shape, extra:
                 shown = bool(wanted[-1])
             key, first, last = k[-1], run_first[-1], i[-1]
 
-    made = rows.mapInArrow(produce, schema).repartition(partitions(rows.sparkSession), "route").sortWithinPartitions("kind", "route", "id")
+    made = rows.mapInArrow(produce, schema).repartition(partitions(rows.sparkSession), "route").sortWithinPartitions("kind", "route", F.xxhash64("route", "id"), "id")
     out = "kind int, key long, id long, pivot long, " + ", ".join(f"{s} long" for s in sigs) + "".join(f", {n} {t}" for n, t in extra.items())
     return scratch.table(made.mapInArrow(reduce, out), name)
 
 
-def star_pairs(members: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of a key's pivot and its other items."""
-    return members.filter("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+def star_pairs(members: DataFrame, signatures: DataFrame, shape: Shape, threshold: float) -> DataFrame:
+    """Pairs (a, b) of an item and those of its keys' pivots that look most alike and may reach the threshold."""
+    pairs = members.filter("id <> pivot").select("id", "pivot").distinct()
+    sigs = [f"s{w}" for w in range(shape.words)]
+    a = signatures.select("id", *[F.col(s).alias(f"a{s}") for s in sigs])
+    b = signatures.select(F.col("id").alias("pivot"), *[F.col(s).alias(f"b{s}") for s in sigs])
+    seen = pairs.join(a, "id").join(b, "pivot").select("id", "pivot", shape.likeness("a", "b").alias("e")).filter(F.col("e") >= shape.least_estimate(threshold))
+    # An item has one pivot for each band at most
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("e"), "pivot"))
+    return seen.withColumn("r", rank).filter(F.col("r") <= PARTNERS).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+
+
+def _meetings(members: DataFrame, labels: DataFrame, signatures: DataFrame, shape: Shape, scratch: Scratch, name: str) -> DataFrame:
+    """Keys whose items have different labels, dealt in blocks: rows of a block's items, then of the items that ask it."""
+    sizes = labels.groupBy("label").count().withColumnRenamed("count", "size")
+    sized = labels.join(sizes, "label").select("id", "label", "size")
+    held = members.select("key", "id").distinct().join(sized, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
+    held = scratch.table(held, f"{name}-held")
+    keys = held.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("size", "label")).alias("main"), F.count("*").alias("n")).filter("low <> high")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    sigs = [f"s{w}" for w in range(shape.words)]
+    active = held.join(keys.select("key", F.col("main.label").alias("main"), blocks.alias("blocks")), "key").join(signatures.select("id", *sigs), "id")
+    active = scratch.table(active, f"{name}-active")
+    row = ["key", "block", "id", "label", "size", *sigs]
+    # Whatever a key's largest label holds asks nothing: the others ask it
+    asked = active.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).select(*row, F.lit(0).alias("asks"))
+    asking = active.filter("label <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*row, F.lit(1).alias("asks"))
+    return asked.unionByName(asking).repartition(partitions(labels.sparkSession), "key", "block").sortWithinPartitions("key", "block", "asks")
 
 
-def likely(pairs: DataFrame, signatures: DataFrame, shape: Shape, threshold: float) -> DataFrame:
-    """The pairs whose signatures allow the threshold; ``signatures`` has one row (id, s0..) for each id."""
+def _larger(batches: Iterator, shape: Shape, least: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each item that asks: itself, and ids, labels and estimates of its block's items of larger labels that are near."""
     sigs = [f"s{w}" for w in range(shape.words)]
-    a = signatures.select(F.col("id").alias("a"), *[F.col(s).alias(f"a{s}") for s in sigs])
-    b = signatures.select(F.col("id").alias("b"), *[F.col(s).alias(f"b{s}") for s in sigs])
-    return pairs.join(a, "a").join(b, "b").filter(shape.likeness("a", "b") >= shape.least_estimate(threshold)).select("a", "b")
+    here, block, rows = None, None, []
+    for batch in batches:
+        keys, parts, names, own, size, asks = (batch.column(c).to_pylist() for c in ("key", "block", "id", "label", "size", "asks"))
+        codes = np.stack([batch.column(c).to_numpy() for c in sigs], axis=1).view(np.uint64)
+        for i in range(batch.num_rows):
+            if (keys[i], parts[i]) != here:
+                here, block, rows = (keys[i], parts[i]), None, []
+            if not asks[i]:
+                rows.append((names[i], own[i], size[i], codes[i]))
+                continue
+            if not rows:
+                continue
+            if block is None:
+                n, o, z, c = zip(*rows, strict=True)
+                block = (np.array(n, np.int64), np.array(o, np.int64), np.array(z, np.int64), np.array(c, np.uint64))
+            ids, labels, sizes, theirs = block
+            ok = np.flatnonzero((sizes > size[i]) | ((sizes == size[i]) & (labels > own[i])))
+            if len(ok):
+                e = shape.estimates(codes[i], theirs[ok])
+                near = e >= least
+                if near.any():
+                    yield names[i], ids[ok[near]], labels[ok[near]], e[near]
+
+
+def best_pairs(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame:
+    """Pairs (a, b) of an item and, of all that it meets in larger labels, those that look most alike."""
+    least = shape.least_estimate(threshold)
+
+    def best(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
+        out: list[tuple[int, int, float]] = []
+        for name, ids, _, e in _larger(batches, shape, least):
+            k = int(e.argmax())
+            out.append((name, int(ids[k]), float(e[k])))
+            if len(out) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["id", "other", "e"])
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["id", "other", "e"])
 
-def open_pairs(members: DataFrame, labels: DataFrame, signatures: DataFrame, shape: Shape, threshold: float, scratch: Scratch) -> DataFrame:
-    """Pairs a < b of different labels under one key whose signatures allow the threshold."""
-    held = members.select("key", "id").distinct().join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-    held = scratch.table(held, "held")
-    by_label = held.groupBy("key", "label").count()
-    keys = by_label.groupBy("key").agg(F.max(F.struct("count", "label")).alias("m"), F.sum("count").alias("n"), F.count("*").alias("labels")).filter("labels > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    active = held.join(keys.select("key", F.col("m.label").alias("main"), blocks.alias("blocks")), "key")
-    sigs = [f"s{w}" for w in range(shape.words)]
-    active = scratch.table(active.join(signatures.select("id", *sigs), "id"), "active")
-    p = active.filter("label <> main").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("id").alias("p"), F.col("label").alias("pl"), *[F.col(s).alias(f"p{s}") for s in sigs])
-    q = active.select("key", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.col("id").alias("q"), F.col("label").alias("ql"), (F.col("label") == F.col("main")).alias("in_main"), *[F.col(s).alias(f"q{s}") for s in sigs])
-    met = p.join(q, ["key", "block"]).filter((F.col("pl") != F.col("ql")) & (F.col("in_main") | (F.col("p") < F.col("q"))) & (shape.likeness("p", "q") >= shape.least_estimate(threshold)))
-    return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    # One row for each key of an item and block of that key
+    seen = meetings.mapInArrow(best, "id long, other long, e double").distinct()
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("e"), "other"))
+    return seen.withColumn("r", rank).filter(F.col("r") <= PARTNERS).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
+def open_labels(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame:
+    """id, label: an item, and a larger label with an item under a common key whose signature allows the threshold."""
+    least = shape.least_estimate(threshold)
+
+    def near(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
+        out: set[tuple[int, int]] = set()
+        for name, _, labels, _ in _larger(batches, shape, least):
+            out.update((name, int(x)) for x in np.unique(labels))
+            if len(out) >= 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["id", "label"])
+                out = set()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["id", "label"])
 
-def components(edges: DataFrame, scratch: Scratch, name: str = "components") -> DataFrame:
-    """id, label of every item of an edge (a, b): the least id that can be reached.
+    return meetings.mapInArrow(near, "id long, label long").distinct()
 
-    Distributed union-find: each round links an item's greater neighbours to its least one, then does the same with
-    its smaller ones, until nothing changes; a logarithmic number of rounds.  Every round is written, so that a lost
-    executor costs a round's tasks and not the history.
+
+Fetch = Callable[[DataFrame, str], DataFrame]
+Sets = Callable[[], Callable[[str], np.ndarray]]
+Test = Callable[[int, int, int], bool]
+
+
+def verified(pairs: DataFrame, fetch: Fetch, sets: Sets, test: Test, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs (a, b) whose full sets pass the test."""
+    pairs = scratch.table(pairs, f"{name}-pairs")
+    ids = scratch.table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{name}-ids")
+    needed = scratch.table(fetch(ids, name), f"{name}-texts")
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        set_of = sets()
+        last, a = None, None
+        for batch in batches:
+            ok = []
+            for ta, tb in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
+                if ta != last:  # pairs of one text come together
+                    last, a = ta, set_of(ta)
+                b = set_of(tb)
+                ok.append(test(len(a), len(b), len(np.intersect1d(a, b, assume_unique=True))))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    with_b = pairs.join(needed.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    both = with_b.join(needed.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
+
+
+def verified_against_labels(asks: DataFrame, labels: DataFrame, fetch: Fetch, sets: Sets, test: Test, scratch: Scratch, name: str) -> DataFrame:
+    """Links (a, b) between items and the labels they ask for: every item of the label is compared, on full sets.
+
+    Items that ask one label are dealt over blocks of ``ASKING``, the label's items over chunks of ``BLOCK``; a task
+    holds the sets of a block and streams a chunk past them.  It reports one link of each item at most.
     """
+    asks = scratch.table(asks, f"{name}-asks")
+    # A label without links is its only item
+    ask_n = asks.groupBy("label").agg(F.count("*").alias("asking"))
+    held = ask_n.join(labels.select("label", "id"), "label", "left").select("label", "asking", F.coalesce("id", "label").alias("id"))
+    sizes = held.groupBy("label").agg(F.max("asking").alias("asking"), F.count("*").alias("n")).select("label", F.ceil(F.col("asking") / ASKING).cast("int").alias("blocks"), F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    a = asks.join(sizes, "label").withColumn("block", part("blocks")).withColumn("chunk", each("chunks")).select("label", "block", "chunk", "id", F.lit(0).alias("kind"))
+    b = held.select("label", "id").join(sizes, "label").withColumn("chunk", part("chunks")).withColumn("block", each("blocks")).select("label", "block", "chunk", "id", F.lit(1).alias("kind"))
+    meet = scratch.table(a.unionByName(b), f"{name}-meet")
+    ids = scratch.table(meet.select("id").distinct(), f"{name}-ids")
+    needed = scratch.table(fetch(ids, name), f"{name}-texts")
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    def state(df: DataFrame) -> tuple:
-        # the sum wraps around in either half alone, so it can't overflow
-        h = F.xxhash64("u", "v")
-        return tuple(df.agg(F.count("*"), F.sum(F.shiftright(h, 32)), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF)))).first())
-
-    now = scratch.table(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), f"{name}-0")
-    before, rounds = state(now), 0
-    while before[0]:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = scratch.table(large, f"{name}-large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").filter("u <> v").distinct()
-        rounds += 1
-        now = scratch.table(small, f"{name}-{rounds}")
-        scratch.drop(f"{name}-{rounds - 1}", collect=False)
-        after = state(now)
-        if after == before:
-            break
-        before = after
-    return now.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct())
-
-
-def groups(members: DataFrame, signatures: DataFrame, shape: Shape, threshold: float, verify: Callable[[DataFrame, str], DataFrame], scratch: Scratch) -> DataFrame:
-    """id, label of all items that have a verified link: stars first, then what stars may have missed."""
-    first = scratch.table(verify(likely(star_pairs(members), signatures, shape, threshold), "stars"), "links")
-    labels = components(first, scratch, "first")
-    more = scratch.table(verify(open_pairs(members, labels, signatures, shape, threshold, scratch), "rest"), "more")
-    if more.isEmpty():
-        return labels
-    known = labels.select(F.col("id").alias("a"), F.col("label").alias("b")).filter("a <> b")
-    return components(known.unionByName(more), scratch, "all")
+        set_of = sets()
+        here, asking, lengths, flat, owner, linked = None, [], [], [], [], None
+        ready = None
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            cols = [batch.column(c).to_pylist() for c in ("label", "block", "chunk", "kind", "id", "text")]
+            for label, block, chunk, kind, i, text in zip(*cols, strict=True):
+                if (label, block, chunk) != here:
+                    here, ready = (label, block, chunk), None
+                    asking, lengths, flat, owner = [], [], [], []
+                s = set_of(text)
+                if kind == 0:
+                    owner.append(np.full(len(s), len(asking)))
+                    asking.append(i)
+                    lengths.append(len(s))
+                    flat.append(s)
+                    continue
+                if not asking:
+                    continue
+                if ready is None:
+                    all_ = np.concatenate(flat)
+                    order = np.argsort(all_, kind="stable")
+                    ready, who, linked = all_[order], np.concatenate(owner)[order], np.zeros(len(asking), bool)
+                    sizes_ = np.array(lengths)
+                if linked.all():
+                    continue
+                lo, hi = np.searchsorted(ready, s, "left"), np.searchsorted(ready, s, "right")
+                n = hi - lo
+                got = n > 0
+                at = np.repeat(lo[got] - (np.cumsum(n[got]) - n[got]), n[got]) + np.arange(int(n.sum()))
+                both = np.bincount(who[at], minlength=len(asking))
+                for k in np.flatnonzero((both > 0) & ~linked):
+                    if asking[k] != i and test(int(sizes_[k]), len(s), int(both[k])):
+                        linked[k] = True
+                        out.append((asking[k], i))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out]), pa.array([x for _, x in out])], ["a", "b"])
+
+    rows = meet.join(needed.select("id", "text"), "id").repartition(partitions(asks.sparkSession), "label", "block", "chunk").sortWithinPartitions("label", "block", "chunk", "kind")
+    return rows.select("label", "block", "chunk", "kind", "id", "text").mapInArrow(run, "a long, b long").distinct()
+
+
+def groups(members: DataFrame, signatures: DataFrame, shape: Shape, threshold: float, fetch: Fetch, sets: Sets, test: Test, scratch: Scratch) -> DataFrame:
+    """id, label of all items that have a verified link: stars first, then what stars have left out.
+
+    ``fetch(ids, name)`` gives id and text for the ids of a written table, ``sets()`` makes in a task the function
+    from a text to its set (sorted distinct hashes), ``test(m, n, both)`` says whether sets of m and n elements with
+    ``both`` in common are linked.
+    """
+    first = scratch.table(verified(star_pairs(members, signatures, shape, threshold), fetch, sets, test, scratch, "stars"), "links")
+    labels = scratch.table(components(first, scratch, "first"), "labels")
+
+    def joined(labels: DataFrame, more: DataFrame, name: str) -> DataFrame:
+        if more.isEmpty():
+            return labels
+        known = labels.select(F.col("id").alias("a"), F.col("label").alias("b")).filter("a <> b")
+        return scratch.table(components(known.unionByName(more), scratch, name), f"{name}-labels")
+
+    met = _meetings(members, labels, signatures, shape, scratch, "best")
+    labels = joined(labels, scratch.table(verified(best_pairs(met, shape, threshold), fetch, sets, test, scratch, "best"), "best-links"), "second")
+    asks = open_labels(_meetings(members, labels, signatures, shape, scratch, "rest"), shape, threshold)
+    more = scratch.table(verified_against_labels(asks, labels, fetch, sets, test, scratch, "rest"), "rest-links")
+    return joined(labels, more, "third")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import links
-from .common import Scratch, texts
+from .common import Scratch, among, texts
 
 SHAPE = links.Shape(rows=5, bands=38)
 
@@ -66,12 +66,9 @@ class Shingles:
         return np.unique(mixed ^ (mixed >> np.uint64(31)))
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    small, large = sorted((len(a), len(b)))
-    if 100 * small < percent * large:
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+def reaches(percent: int):
+    """Whether sets of m and n elements with ``both`` in common have a Jaccard similarity of ``percent`` or more."""
+    return lambda m, n, both: 100 * both >= percent * (m + n - both)
 
 
 def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80, shape: links.Shape = SHAPE) -> DataFrame:
@@ -114,10 +111,10 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80, shape: l
     members = members.join(to_rep.select(F.col("id").alias("pivot"), F.col("rep").alias("p")), "pivot").select("key", "id", F.col("p").alias("pivot")).distinct()
     members = scratch.table(members, "members")
 
-    def verify(pairs: DataFrame, name: str) -> DataFrame:
-        return confirmed(pairs, rows, words, percent, scratch, name)
+    def fetch(ids: DataFrame, name: str) -> DataFrame:
+        return among(rows.withColumnRenamed("doc_id", "id"), ids, "id").dropDuplicates(["id"])
 
-    labels = links.groups(members, reps, shape, percent / 100, verify, scratch)
+    labels = links.groups(members, reps, shape, percent / 100, fetch, lambda: Shingles(words).of, reaches(percent), scratch)
     labels = labels.select(F.col("id").alias("rep"), "label")
     out = named.select("id", "n", "rep").join(labels, "rep", "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id"))
     out = out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -136,30 +133,6 @@ def _without_id(rows: DataFrame, words: int) -> DataFrame:
     return rows.filter("doc_id is null").mapInArrow(count, "doc_id long, n_shingles long, component_id long, kept boolean")
 
 
-def confirmed(pairs: DataFrame, rows: DataFrame, words: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    pairs = scratch.table(pairs, f"{name}-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    needed = scratch.table(rows.join(ids, "doc_id", "left_semi"), f"{name}-texts")
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        sets = Shingles(words)
-        last, a = None, None
-        for batch in batches:
-            ok = []
-            for ta, tb in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
-                if ta != last:  # pairs of one text come together
-                    last, a = ta, sets.of(ta)
-                ok.append(similar(a, sets.of(tb), percent))
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
-
-    with_b = pairs.join(needed.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    both = with_b.join(needed.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
-
-
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` but for those in a component with a smaller doc_id."""
     gone = near_duplicates(docs, words, percent).filter("not kept").select("doc_id").distinct()
