@@ -15,7 +15,8 @@ BANDS, BITS = 4, 16
 
 def shingles(t: Column, n: int = 4) -> Column:
     """Distinct runs of ``n`` characters; the text itself if it is shorter, none if it is empty."""
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - n + 1, F.lit(1))), lambda i: F.substring(t, i, F.lit(n)))
+    # The characters are split once and bound to a name: taking substrings of a long text by place would be quadratic.
+    runs = F.transform(F.array(F.split(t, "")), lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.size(c) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(c, i, F.lit(n)), "")))[0]
     return F.when(F.length(t) > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 

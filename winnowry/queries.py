@@ -397,8 +397,8 @@ def simhash_prints(spark, sf_dir):
 _SET = "list_distinct(list_transform(range(1, greatest(length(text) - 3, 1) + 1), lambda i: substr(text, i, 4)))"
 
 
-@query("near_dup_pairs", f"""WITH {C_PAIRS}, s AS (SELECT id, {_SET} AS s FROM u), j AS (SELECT pairs.*, len(list_intersect(a.s, b.s)) AS both, len(a.s) AS na, len(b.s) AS nb FROM pairs JOIN s a ON a.id = id_a JOIN s b ON b.id = id_b)
-SELECT id_a, id_b, distance, both::DOUBLE / (na + nb - both) AS jaccard FROM j""")
+@query("near_dup_pairs", f"""WITH {C_PAIRS}, s AS (SELECT id, {_SET} AS s FROM u), j AS (SELECT pairs.*, len(list_intersect(a.s, b.s)) AS common, len(a.s) AS na, len(b.s) AS nb FROM pairs JOIN s a ON a.id = id_a JOIN s b ON b.id = id_b)
+SELECT id_a, id_b, distance, common::DOUBLE / (na + nb - common) AS jaccard FROM j""")
 def near_dup_pairs(spark, sf_dir):
     docs = _distinct_docs(spark, sf_dir)
     return simhash.with_jaccard(simhash.pairs(_prints(spark, sf_dir)), docs).select("id_a", "id_b", "distance", "jaccard")
