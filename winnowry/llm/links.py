@@ -10,8 +10,9 @@ This leaves out pairs, so keys whose items still have different labels are taken
 key's largest label is verified against the likeliest of all it meets there, a few pairs for each item.  Then, where an
 item's signature is near that of an item of another label, the item (of the smaller label) is compared with all items
 of that label, on full sets, in blocks of bounded size: what is shuffled is one row for each item and label, and an
-item's set once for each block of others.  No pair of items of one label is ever looked at.  After that every pair under a common key
-whose signatures allow the threshold is either in one label or known not to be linked.
+item's set once for each block of others.  No pair of items of one label is ever looked at.  Two items that share
+several keys are looked at under the least of them.  After that every pair under a common key whose signatures allow
+the threshold is either in one label or known not to be linked.
 """
 
 from __future__ import annotations
@@ -234,7 +235,10 @@ def star_pairs(members: DataFrame, signatures: DataFrame, shape: Shape, threshol
 
 
 def _meetings(members: DataFrame, labels: DataFrame, signatures: DataFrame, shape: Shape, scratch: Scratch, name: str) -> DataFrame:
-    """Keys whose items have different labels, dealt in blocks: rows of a block's items, then of the items that ask it."""
+    """Keys whose items have different labels, dealt in blocks: rows of a block's items, then of the items that ask it.
+
+    ``keys`` lists all such keys of an item, one for each band at most.
+    """
     sizes = labels.groupBy("label").count().withColumnRenamed("count", "size")
     sized = labels.join(sizes, "label").select("id", "label", "size")
     held = members.select("key", "id").distinct().join(sized, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
@@ -244,7 +248,8 @@ def _meetings(members: DataFrame, labels: DataFrame, signatures: DataFrame, shap
     sigs = [f"s{w}" for w in range(shape.words)]
     active = held.join(keys.select("key", F.col("main.label").alias("main"), blocks.alias("blocks")), "key").join(signatures.select("id", *sigs), "id")
     active = scratch.table(active, f"{name}-active")
-    row = ["key", "block", "id", "label", "size", *sigs]
+    active = active.join(active.groupBy("id").agg(F.collect_set("key").alias("keys")), "id")
+    row = ["key", "block", "id", "label", "size", *sigs, "keys"]
     # Whatever a key's largest label holds asks nothing: the others ask it
     asked = active.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).select(*row, F.lit(0).alias("asks"))
     asking = active.filter("label <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*row, F.lit(1).alias("asks"))
@@ -252,28 +257,35 @@ def _meetings(members: DataFrame, labels: DataFrame, signatures: DataFrame, shap
 
 
 def _larger(batches: Iterator, shape: Shape, least: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each item that asks: itself, and ids, labels and estimates of its block's items of larger labels that are near."""
+    """For each item that asks: itself, and ids, labels and estimates of its block's items of larger labels that are near.
+
+    Two items that share several keys meet under the least of them alone.
+    """
     sigs = [f"s{w}" for w in range(shape.words)]
     here, block, rows = None, None, []
     for batch in batches:
         keys, parts, names, own, size, asks = (batch.column(c).to_pylist() for c in ("key", "block", "id", "label", "size", "asks"))
         codes = np.stack([batch.column(c).to_numpy() for c in sigs], axis=1).view(np.uint64)
+        known = batch.column("keys").to_pylist()
         for i in range(batch.num_rows):
             if (keys[i], parts[i]) != here:
                 here, block, rows = (keys[i], parts[i]), None, []
             if not asks[i]:
-                rows.append((names[i], own[i], size[i], codes[i]))
+                rows.append((names[i], own[i], size[i], codes[i], known[i]))
                 continue
             if not rows:
                 continue
             if block is None:
-                n, o, z, c = zip(*rows, strict=True)
-                block = (np.array(n, np.int64), np.array(o, np.int64), np.array(z, np.int64), np.array(c, np.uint64))
-            ids, labels, sizes, theirs = block
+                n, o, z, c, shared = zip(*rows, strict=True)
+                block = (np.array(n, np.int64), np.array(o, np.int64), np.array(z, np.int64), np.array(c, np.uint64), shared)
+            ids, labels, sizes, theirs, shared = block
             ok = np.flatnonzero((sizes > size[i]) | ((sizes == size[i]) & (labels > own[i])))
             if len(ok):
                 e = shape.estimates(codes[i], theirs[ok])
                 near = e >= least
+                mine = set(known[i])
+                for k in np.flatnonzero(near):
+                    near[k] = min(mine.intersection(shared[ok[k]])) == keys[i]
                 if near.any():
                     yield names[i], ids[ok[near]], labels[ok[near]], e[near]
 
