@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,16 +14,34 @@ from ..scratch import Scratch, delete, shared_dir
 
 __all__ = ["Scratch", "delete", "shared_dir"]
 
-#: Rows in an Arrow batch handed to Python: texts may be long, so a batch holds few of them.
-ARROW_ROWS = 512
+#: Rows, and bytes, in an Arrow batch handed to Python: texts may be long, so a batch holds few of them.
+ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
 
 
 def tuned(spark: SparkSession) -> SparkSession:
     """Small Arrow batches, as whole texts go to Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 
+def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function of a mapInArrow, after which the worker gives memory it has freed back to the machine."""
+
+    @wraps(task)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            import pyarrow as pa
+
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # no glibc, nothing to trim
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 #: Keys are broadcast up to this size, at 32 bytes each.
 BROADCAST_BYTES = 32 << 20
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import links
-from .common import Scratch, among
+from .common import Scratch, among, lean
 
 SHAPE = links.Shape(rows=6, bands=16)
 SHINGLE = 5
@@ -134,9 +134,9 @@ def repeated_lines(rows: DataFrame, threshold: float, min_chars: int, shape: lin
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], ["id", "text"])
 
     def fetch(ids: DataFrame, name: str) -> DataFrame:
-        return among(rows.select("_text").mapInArrow(lines, "id long, text string"), ids, "id").dropDuplicates(["id"])
+        return among(rows.select("_text").mapInArrow(lean(lines), "id long, text string"), ids, "id").dropDuplicates(["id"])
 
-    seen = scratch.table(rows.mapInArrow(occurrences, "_id long, _row long, _line int, h1 long, h2 long"), "seen")
+    seen = scratch.table(rows.mapInArrow(lean(occurrences), "_id long, _row long, _line int, h1 long, h2 long"), "seen")
     made = links.band(rows.select("_text"), sketcher, shape, {}, scratch)
     members = made.filter(F.col("kind") == links.UNDER_KEY).select("key", "id", "pivot")
     signatures = made.filter(F.col("kind") == links.ITEM).dropDuplicates(["id"])
@@ -178,4 +178,4 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, min_chars: int = MIN_CH
             yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(removed, pa.int64())], [*own, "n_lines", "n_removed"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(cut, schema + ", n_lines long, n_removed long")
+    return joined.mapInArrow(lean(cut), schema + ", n_lines long, n_removed long")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators.graph import components
-from .common import Scratch, partitions
+from .common import Scratch, lean, partitions
 
 #: Items of a key, or of a label, that stand in one block when labels are compared; items that ask at a time.
 BLOCK, ASKING = 2048, 256
@@ -217,9 +217,9 @@ def band(rows: DataFrame, sketcher: Callable[[], Sketcher], shape: Shape, extra:
                 shown = bool(wanted[-1])
             key, first, last = k[-1], run_first[-1], i[-1]
 
-    made = rows.mapInArrow(produce, schema).repartition(partitions(rows.sparkSession), "route").sortWithinPartitions("kind", "route", F.xxhash64("route", "id"), "id")
+    made = rows.mapInArrow(lean(produce), schema).repartition(partitions(rows.sparkSession), "route").sortWithinPartitions("kind", "route", F.xxhash64("route", "id"), "id")
     out = "kind int, key long, id long, pivot long, " + ", ".join(f"{s} long" for s in sigs) + "".join(f", {n} {t}" for n, t in extra.items())
-    return scratch.table(made.mapInArrow(reduce, out), name)
+    return scratch.table(made.mapInArrow(lean(reduce), out), name)
 
 
 def star_pairs(members: DataFrame, signatures: DataFrame, shape: Shape, threshold: float) -> DataFrame:
@@ -308,7 +308,7 @@ def best_pairs(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["id", "other", "e"])
 
     # One row for each key of an item and block of that key
-    seen = meetings.mapInArrow(best, "id long, other long, e double").distinct()
+    seen = meetings.mapInArrow(lean(best), "id long, other long, e double").distinct()
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("e"), "other"))
     return seen.withColumn("r", rank).filter(F.col("r") <= PARTNERS).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
@@ -329,7 +329,7 @@ def open_labels(meetings: DataFrame, shape: Shape, threshold: float) -> DataFram
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["id", "label"])
 
-    return meetings.mapInArrow(near, "id long, label long").distinct()
+    return meetings.mapInArrow(lean(near), "id long, label long").distinct()
 
 
 Fetch = Callable[[DataFrame, str], DataFrame]
@@ -359,7 +359,7 @@ def verified(pairs: DataFrame, fetch: Fetch, sets: Sets, test: Test, scratch: Sc
 
     with_b = pairs.join(needed.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     both = with_b.join(needed.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "ta", "tb").mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def verified_against_labels(asks: DataFrame, labels: DataFrame, fetch: Fetch, sets: Sets, test: Test, scratch: Scratch, name: str) -> DataFrame:
@@ -423,7 +423,7 @@ def verified_against_labels(asks: DataFrame, labels: DataFrame, fetch: Fetch, se
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out]), pa.array([x for _, x in out])], ["a", "b"])
 
     rows = meet.join(needed.select("id", "text"), "id").repartition(partitions(asks.sparkSession), "label", "block", "chunk").sortWithinPartitions("label", "block", "chunk", "kind")
-    return rows.select("label", "block", "chunk", "kind", "id", "text").mapInArrow(run, "a long, b long").distinct()
+    return rows.select("label", "block", "chunk", "kind", "id", "text").mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def groups(members: DataFrame, signatures: DataFrame, shape: Shape, threshold: float, fetch: Fetch, sets: Sets, test: Test, scratch: Scratch) -> DataFrame:
