@@ -308,6 +308,6 @@ SELECT doc_id, {outer}, sha256(coalesce(base, '')) AS base_sha256, coalesce(span
 
 
 def matches(text: str, rules: tuple[Rule, ...] = RULES) -> list[tuple[int, int, int, str]]:
-    """The spans of one text, by Python's expressions."""
-    found = [(m.start(), i, m.end(), r.kind) for i, r in enumerate(rules) for m in re.finditer(r.pattern, text) if len(m[r.group]) >= r.least]
+    """The spans of one text, by Python's expressions.  Only ASCII letters have another case here, as for Java."""
+    found = [(m.start(), i, m.end(), r.kind) for i, r in enumerate(rules) for m in re.finditer(r.pattern.replace("(?i:", "(?ai:"), text) if len(m[r.group]) >= r.least]
     return sorted(found)
