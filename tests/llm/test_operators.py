@@ -182,6 +182,19 @@ def test_fuzzy_lines(spark):
     assert linededup.dedup_lines(frame(spark, texts).limit(0)).count() == 0
 
 
+def test_every_line_that_is_not_blank_takes_part(spark, tmp_path):
+    lines = [t[:150] for t in copies(8, 60)]
+    short = ["All rights reserved.", "licensed under CC BY-NC 4.0.", "Licensed  under cc by-nc 4.0", "}", "ab", "ab c", "abcde", "abcdef", "--", " "]
+    texts = ["\n".join([*lines[i : i + 6], *short[i % 3 :], "", short[i % 10]]) for i in range(0, 60, 5)] + [None, "", "all  RIGHTS reserved."]
+    flat = [(d, i, n) for d, t in enumerate(texts) for i, x in enumerate((t or "").split("\n")) if (n := linededup.normal(x))]
+    sets = [{x[k : k + 5] for k in range(max(1, len(x) - 4))} for _, _, x in flat]
+    keep = {flat[c][:2] for c in components(len(flat), alike(sets))}
+    gone = {x[:2] for x in flat} - keep
+    want = ["\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) if t is not None else None for d, t in enumerate(texts)]
+    frame(spark, texts).write.parquet(f"file://{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: r["text"] for r in queries.op6_line_dedup(spark, f"file://{tmp_path}").collect()} == dict(enumerate(want))
+
+
 # ---- 7
 
 

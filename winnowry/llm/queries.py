@@ -39,7 +39,8 @@ def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    """All lines that are not blank."""
+    return linededup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"), min_chars=1)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
