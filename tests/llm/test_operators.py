@@ -195,6 +195,15 @@ def test_every_line_that_is_not_blank_takes_part(spark, tmp_path):
     assert {r["doc_id"]: r["text"] for r in queries.op6_line_dedup(spark, f"file://{tmp_path}").collect()} == dict(enumerate(want))
 
 
+def test_pairs_of_lines_at_the_threshold_are_found(spark):
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    pairs = [(w := word(36)) + word(4) + "\n" + w + word(4) for _ in range(1500)]  # 32 of 40 shingles in common
+    got = linededup.dedup_lines(frame(spark, pairs)).agg(F.sum("n_removed")).first()[0]
+    sets = [[{x[k : k + 5] for k in range(36)} for x in t.split("\n")] for t in pairs]
+    assert got == sum(len(a & b) >= 0.8 * len(a | b) for a, b in sets) > 1400
+
+
 # ---- 7
 
 

@@ -3,16 +3,17 @@
 Lines are compared in lower case with white space collapsed; those shorter than ``min_chars`` are left alone.  With 1,
 as ``op6_line_dedup`` has it, every line that is not blank takes part; the pipeline's stage leaves lines under
 ``MIN_CHARS``.  Lines that are equal so are one class, whatever their number.  A class shorter than a shingle has no
-other relative; each other class has a MinHash signature over its character shingles; bands of minima (six each, sixteen times) give candidates, whose Jaccard
-similarity is computed from the lines themselves.  Linked classes form components, and of each component the first
-line stays: the one with the least doc_id, then the least line number.  All its other lines are removed.
+other relative; each other class has a MinHash signature over its character shingles; bands of minima (five each, 38
+times) give candidates, whose Jaccard similarity is computed from the lines themselves.  Linked classes form
+components, and of each component the first line stays: the one with the least doc_id, then the least line number.  All
+its other lines are removed.
 
-A pair of similarity 0.8 is no candidate in eight cases of a thousand, one of 0.85 in five of ten thousand.
+A pair of similarity 0.8 is no candidate once in four million cases, a more similar one far more rarely.
 
-Edge cases: a null text stays null and has no lines; blank lines, and those under ``min_chars``, stay; rows that repeat a doc_id with equal
-text are judged as one row, with different texts in the order of a hash of the text; rows with a null doc_id come
-last in the order; a very long line is one line; a document may lose all its lines and then has an empty text; an
-empty table gives no row; the columns of ``docs`` are kept, names used inside begin with an underscore.
+Edge cases: a null text stays null and has no lines; blank lines, and those under ``min_chars``, stay; rows that repeat
+a doc_id with equal text are judged as one row, with different texts in the order of a hash of the text; rows with a
+null doc_id come last in the order; a very long line is one line; a document may lose all its lines and then has an
+empty text; an empty table gives no row; the columns of ``docs`` are kept, names used inside begin with an underscore.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from . import links
 from .common import Scratch, among, lean
 
-SHAPE = links.Shape(rows=6, bands=16)
+SHAPE = links.Shape(rows=5, bands=38)
 SHINGLE = 5
 MIN_CHARS = 30
 #: Characters hashed at a time.
