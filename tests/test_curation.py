@@ -8,6 +8,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
+from winnowry import queries
 from winnowry.functions import signals as S
 from winnowry.functions.hashing import split_of, stable_float
 from winnowry.functions.text import clean, inspect
@@ -144,6 +145,16 @@ def test_near_duplicate_chain_is_one_cluster(spark):
     assert cross["a", "b"] is True
 
 
+def test_every_copy_is_a_member_of_its_cluster(spark, tmp_path):
+    base = "a long enough sentence about rivers, boats and the people on them. " * 6
+    texts = ["nothing of the kind is said in this other text, not at all"] * 40 + [base, base, base, "alone in the world, as no other text has any of these words"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.near_dup_members(spark, f"file://{tmp_path}").collect()}
+    want = [(0, 40)] * 40 + [(40, 3)] * 3 + [(43, 1)]
+    assert [(got[i]["label"], got[i]["size"]) for i in range(44)] == want == [(got[i]["id"], got[i]["size"]) for i in range(44)]
+    assert [got[i]["fp"] for i in range(44)] == [plain_simhash(t) for t in texts]
+
+
 def test_settings():
     s = Settings(mode="dev").resolved().checked()
     assert (s.max_documents, s.scan_limit, s.dedup_backend, s.loader) == (20_000, 500_000, "memory", "datasets")

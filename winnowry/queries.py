@@ -414,6 +414,21 @@ def near_dup_clusters(spark, sf_dir):
     return grouped.join(label, "cluster").select("id", "label", "size")
 
 
+@query("near_dup_members", f"""WITH RECURSIVE {C_PAIRS}, e AS (SELECT id_a AS x, id_b AS y FROM pairs UNION ALL SELECT id_b, id_a FROM pairs),
+reach AS (SELECT x AS id, x AS r FROM e UNION SELECT reach.id, e.y FROM reach JOIN e ON e.x = reach.r),
+label AS (SELECT id, min(r) AS label FROM reach GROUP BY id),
+m AS (SELECT o.doc_id, u.id, prints.fp, coalesce(label.label, u.id) AS label FROM documents o JOIN u ON o.text IS NOT DISTINCT FROM u.text LEFT JOIN prints ON prints.id = u.id LEFT JOIN label ON label.id = u.id)
+SELECT *, count(*) OVER (PARTITION BY label) AS size FROM m""")
+def near_dup_members(spark, sf_dir):
+    """Every document with its representative in the queries above, its fingerprint, its cluster and how many documents that has."""
+    docs = raw(spark, sf_dir).select("doc_id", F.sha2("text", 256).alias("h"))
+    first = docs.groupBy("h").agg(F.min("doc_id").alias("id")).withColumnRenamed("h", "g")
+    label = near_dup_clusters(spark, sf_dir).select("id", "label")
+    placed = docs.join(first, F.col("h").eqNullSafe(F.col("g"))).join(_prints(spark, sf_dir), "id", "left").join(label, "id", "left")
+    placed = Scratch(spark, "members").table(placed.select("doc_id", "id", "fp", F.coalesce("label", "id").alias("label")), "members")
+    return placed.join(placed.groupBy("label").agg(F.count("*").alias("size")), "label").select("doc_id", "id", "fp", "label", "size")
+
+
 # ---- release checks
 
 
