@@ -66,6 +66,16 @@ def test_pages_by_markup_and_suffix(spark):
     assert got[1]["lang"] == "de" and got[2]["rejected"]
 
 
+def test_other_languages(spark):
+    say = {"en": "the river and the boat are on the way to the sea with a man", "de": "der Hund und die Katze sind auf dem Weg nach Hause mit dem Kind", "ru": "река и лодка на пути к морю вместе с человеком и собакой", "nds": "de Hunnen lopen över de groten Straten un snackt platt mit de Lüüd"}
+    rows = [(i, f"{say[x]} " * 20 + f" {i}", x if i // 4 % 2 else None, f"h{i % 3}", 0, "c", 1, 2) for i, x in enumerate(list(say) * 10)]
+    strange = ["河流和船只正在前往大海的路上，人们都很高兴地看着它们", "Con thuyền trên sông đang đi ra biển với một người đàn ông", "η βάρκα και το ποτάμι πηγαίνουν προς τη θάλασσα με έναν άνθρωπο"]
+    rows += [(100 + i, x, None, f"h{i}", 0, "c", 1, 2) for i, x in enumerate(strange)]
+    got = {r["doc_id"]: r for r in langid.identify(langid.evidence_of_documents(spark.createDataFrame(rows, DOCS))).collect()}
+    assert all(got[i]["lang"] == x and not got[i]["rejected"] for i, x in enumerate(list(say) * 10))
+    assert all(got[100 + i]["rejected"] for i in range(3))
+
+
 # ---- 2
 
 

@@ -10,11 +10,15 @@ For each row, the posterior of a language multiplies
 All tables come from grouped aggregation over all rows: trigram counts from rows with a declared language, the others
 from the posteriors that text and declaration alone give.  A row's own share is taken out of its host's counts.
 
-What is collected is bounded by the number of languages, not by the rows: trigram counts (``BUCKETS`` for each), and
-counts of declared languages and suffixes folded to ``FOLDED`` values each.  Hosts are joined, not collected; a host
-with a third of all rows is summed up before the shuffle.
+The languages are those that rows declare, and ``UNKNOWN``: a class whose trigrams are all as likely, so that a text
+whose trigrams no declared language has is its.
 
-A row is rejected if its text has no letter or no language reaches ``least`` of the posterior.
+What is collected is bounded by the number of languages (codes of two or three letters), not by the rows: trigram
+counts (``BUCKETS`` for each).  Declared codes, suffixes and hosts are joined by their true value, not collected; a
+value with a third of all rows is summed up before the shuffle, and joined by broadcast if the table is small.
+
+A row is rejected if its text has no letter, if it is of no known language, or if no language reaches ``least`` of the
+posterior.
 
 Edge cases: null text is empty; null or unknown declarations, suffixes and hosts add no evidence; rows that repeat
 count as often as they stand; an empty table gives no row; further columns are kept by ``accepted`` and ignored by
@@ -33,15 +37,14 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-LANGUAGES = ("en", "fr", "de", "es")
+#: The class of texts in none of the declared languages.
+UNKNOWN = "unknown"
 BUCKETS = 1 << 12
 #: Trigrams that a text's likelihood counts for at most.
 EFFECTIVE = 60.0
-#: Values that suffixes and declarations are folded to.
-FOLDED = 256
 #: Weight of the level above in the prior of a host, in rows.
 SMOOTH = 5.0
-#: The largest table of hosts that is broadcast, in bytes.
+#: The largest table of hosts, codes or suffixes that is broadcast, in bytes.
 BROADCAST_BYTES = 16 << 20
 
 _SKIP = re.compile(r"(?is)<(script|style|nav|head)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
@@ -89,8 +92,12 @@ def _code(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def train(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
-    """Log probabilities, languages x buckets, from the rows that declare one of ``languages``."""
+def declared_languages(rows: DataFrame) -> tuple[str, ...]:
+    return tuple(sorted(r[0] for r in rows.filter("declared is not null").select("declared").distinct().collect()))
+
+
+def train(rows: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
+    """Log probabilities, languages and UNKNOWN x buckets, from the rows that declare one of ``languages``."""
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -104,7 +111,7 @@ def train(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray
         yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bucket), pa.array(sums[lang, bucket])], ["lang", "bucket", "n"])
 
     counted = rows.filter(F.col("declared").isin(*languages)).select("text", "markup", "declared").mapInArrow(count, "lang long, bucket long, n long")
-    table = np.full((len(languages), BUCKETS), 0.5)
+    table = np.full((len(languages) + 1, BUCKETS), 0.5)
     for r in counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():  # languages x buckets at most
         table[r["lang"], r["bucket"]] += r["n"]
     return np.log(table / table.sum(axis=1, keepdims=True))
@@ -146,37 +153,33 @@ def _matrix(batch, names: list[str]) -> np.ndarray:
     return np.stack([batch.column(c).fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64) for c in names], axis=1) if names else np.zeros((batch.num_rows, 0))
 
 
-def _looked_up(batch, value: str, table: np.ndarray) -> np.ndarray:
-    """The table's rows at a folded value; zeros where it is null."""
-    v = batch.column(value).fill_null(FOLDED).to_numpy(zero_copy_only=False)
-    return np.vstack((table, np.zeros(table.shape[1])))[v]
-
-
-def _folded(c: str) -> Column:
-    return F.when(F.col(c).isNotNull() & (F.col(c) != ""), F.pmod(F.xxhash64(c), F.lit(FOLDED)).cast("int"))
+def _small(table: DataFrame, columns: int) -> DataFrame:
+    """A written table, to be broadcast if its size allows."""
+    return F.broadcast(table) if table.count() * (32 + 8 * columns) <= BROADCAST_BYTES else table
 
 
-def _table(rows: DataFrame, value: str, p: list[str]) -> np.ndarray:
-    """Log of how a folded value's share among a language's rows compares with its share among all; FOLDED x languages."""
-    n = len(p)
-    counts = np.zeros((FOLDED, n))
-    for r in rows.filter(F.col(value).isNotNull()).groupBy(value).agg(*[F.sum(c).alias(c) for c in p]).collect():  # FOLDED rows at most
-        counts[r[value]] = [r[c] for c in p]
-    every = counts.sum(axis=1, keepdims=True) / max(1.0, counts.sum())
-    return np.log((counts + 10 * every + 1e-6) / (counts.sum(axis=0, keepdims=True) + 10 + 1e-6 * FOLDED)) - np.log(every + 1e-6)
+def _evidence(rows: DataFrame, value: str, p: list[str], names: list[str], scratch: Scratch) -> DataFrame:
+    """value, names: log of how a value's share among a language's rows compares with its share among all."""
+    counts = scratch.table(rows.filter(F.col(value).isNotNull() & (F.col(value) != "")).groupBy(value).agg(*[F.sum(c).alias(c) for c in p]), f"{value}-counts")
+    total = counts.agg(F.count("*"), *[F.sum(c) for c in p]).first()
+    values, sums = total[0], [float(x or 0) for x in total[1:]]
+    every = sum((F.col(c) for c in p), F.lit(0.0)) / max(1.0, sum(sums))
+    shares = [(F.log((F.col(c) + 10 * every + 1e-6) / (n + 10 + 1e-6 * values)) - F.log(every + 1e-6)).alias(k) for c, k, n in zip(p, names, sums, strict=True)]
+    return _small(scratch.table(counts.select(value, *shares), f"{value}-evidence"), len(p))
 
 
-def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: float = 0.5) -> DataFrame:
-    """doc_id, page_id, lang, confidence, rejected for rows of evidence."""
+def identify(rows: DataFrame, languages: tuple[str, ...] | None = None, least: float = 0.5) -> DataFrame:
+    """doc_id, page_id, lang, confidence, rejected for rows of evidence; ``languages`` are those declared if not given."""
     scratch = Scratch(rows.sparkSession, "langid")
+    known = declared_languages(rows) if languages is None else tuple(languages)
+    model, languages = train(rows, known), (*known, UNKNOWN)
     n = range(len(languages))
-    scored = likelihoods(rows, train(rows, languages), languages).withColumn("d", _folded("declared")).withColumn("x", _folded("suffix"))
-    scored = scratch.table(scored, "scored")
-    t, p, h, q = ([f"{c}{i}" for i in n] for c in "tphq")
+    scored = scratch.table(likelihoods(rows, model, languages), "scored")
+    t, p, h, q, d, x = ([f"{c}{i}" for i in n] for c in "tphqdx")
     # The text alone tells how far a declaration is to be trusted
     told = with_posterior(scored.filter("letters"), t, p, None)
-    declared, suffix = _table(told, "d", p), _table(told, "x", p)
-    first = with_posterior(scored, t, p, declared)
+    by_code, by_suffix = _evidence(told, "declared", p, d, scratch), _evidence(told, "suffix", p, x, scratch)
+    first = with_posterior(scored.join(by_code, "declared", "left"), t, p, d)
     # Counts by host, parent and all, each level smoothed toward the one above
     # A host that is null stands apart: no row joins it
     hosts = first.filter("host is not null").groupBy("host").agg(F.first("parent").alias("parent"), *[F.sum(x).alias(f"h{i}") for i, x in enumerate(p)])
@@ -186,10 +189,8 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: flo
     whole = [x / sum(whole) for x in whole]
     parents = hosts.groupBy("parent").agg(*[F.sum(f"h{i}").alias(f"q{i}") for i in n])
     known = hosts.join(parents, hosts["parent"].eqNullSafe(parents["parent"])).drop("parent")
-    known = scratch.table(known, "priors")
-    if known.count() * (32 + 16 * len(languages)) <= BROADCAST_BYTES:
-        known = F.broadcast(known)
-    joined = first.join(known.select("host", *h, *q), "host", "left").select("doc_id", "page_id", "letters", "d", "x", *t, *p, *h, *q)
+    known = _small(scratch.table(known.select("host", *h, *q), "priors"), 2 * len(languages))
+    joined = first.join(by_suffix, "suffix", "left").join(known, "host", "left").select("doc_id", "page_id", "letters", *d, *x, *t, *p, *h, *q)
     share = np.array(whole)
 
     def fuse(batches: Iterator) -> Iterator:
@@ -203,17 +204,17 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: flo
             of_parent, of_host = (np.maximum(_matrix(batch, c) - own, 0) for c in (q, h))
             parent = (of_parent + SMOOTH * share) / (of_parent.sum(axis=1, keepdims=True) + SMOOTH)
             prior = (of_host + SMOOTH * parent) / (of_host.sum(axis=1, keepdims=True) + SMOOTH)
-            post = _softmax(_matrix(batch, t) + _looked_up(batch, "d", declared) + _looked_up(batch, "x", suffix) + np.log(prior))
+            post = _softmax(_matrix(batch, t) + _matrix(batch, d) + _matrix(batch, x) + np.log(prior))
             best = post.argmax(axis=1)
             sure = post[np.arange(len(best)), best]
             letters = batch.column("letters").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("page_id"), pa.array([languages[i] for i in best], pa.string()), pa.array(sure), pa.array(~letters | (sure < least))], ["doc_id", "page_id", "lang", "confidence", "rejected"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("page_id"), pa.array([languages[i] for i in best], pa.string()), pa.array(sure), pa.array(~letters | (best == len(languages) - 1) | (sure < least))], ["doc_id", "page_id", "lang", "confidence", "rejected"])
 
     return joined.mapInArrow(fuse, "doc_id long, page_id long, lang string, confidence double, rejected boolean")
 
 
-def with_posterior(scored: DataFrame, t: list[str], p: list[str], declared: np.ndarray | None) -> DataFrame:
-    """Adds the posterior that the text and, if its table is given, the declared language give."""
+def with_posterior(scored: DataFrame, t: list[str], p: list[str], d: list[str] | None) -> DataFrame:
+    """Adds the posterior that the text and, if its columns are given, the declared language give."""
     names = scored.columns
 
     def run(batches: Iterator) -> Iterator:
@@ -221,8 +222,8 @@ def with_posterior(scored: DataFrame, t: list[str], p: list[str], declared: np.n
 
         for batch in batches:
             scores = _matrix(batch, t)
-            if declared is not None:
-                scores = scores + _looked_up(batch, "d", declared)
+            if d is not None:
+                scores = scores + _matrix(batch, d)
             post = _softmax(scores) if batch.num_rows else scores
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(post[:, i]) for i in range(len(p))]], [*names, *p])
 
@@ -230,7 +231,7 @@ def with_posterior(scored: DataFrame, t: list[str], p: list[str], declared: np.n
     return scored.mapInArrow(run, schema + "".join(f", {c} double" for c in p))
 
 
-def accepted(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: float = 0.5) -> DataFrame:
+def accepted(docs: DataFrame, languages: tuple[str, ...] | None = None, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` (columns of documents) that are not rejected; rows without doc_id stay."""
     gone = identify(evidence_of_documents(docs), languages, least).filter("rejected and doc_id is not null").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
