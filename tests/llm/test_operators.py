@@ -102,6 +102,29 @@ def test_token_store(spark, shard_ids, tmp_path):
     assert token_store.store(docs.limit(0), path, 2).count() == 0
 
 
+def test_token_store_repeated_and_missing_ids(spark):
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    got = token_store.store(frame(spark, ["b c", "a", None, "a", "word", "x y z"], [5, 5, 5, None, None, 1]), path, 2).collect()
+    tok = tokens.load(path)
+    n = lambda t: len(tok.encode(t, add_special_tokens=False).ids) + 1
+    rows = sorted(got, key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == [None, None, 1, 5, 5, 5] and sorted(r["n_tokens"] for r in rows[3:]) == sorted([n("b c"), n("a"), 1])
+    assert [r["start"] for r in rows] == [sum(x["n_tokens"] for x in rows[:k]) for k in range(6)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "Wort", " ", "  ", "\n", "\t", ".", ",", "é", "don't", "12", "\u2028", "<|endoftext|>", "ΑΣ", "\r", "\x1c", "x\ny"]), max_size=12))
+def test_chunks_have_the_ids_of_the_whole(parts):
+    for name, glued in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        enc = tokens.encoder(queries.tokenizer_path(name), glued) if glued else CHUNKED
+        text = "".join(parts)
+        ids = enc.tok.encode(text, add_special_tokens=False).ids
+        assert enc.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
+
+
+CHUNKED = tokens.ChunkEncoder(tokens.load(queries.tokenizer_path("word_bpe_49k.json")), False)
+
+
 # ---- 3
 
 
@@ -161,6 +184,37 @@ def test_near_duplicates_edges(spark):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_near_duplicates_of_an_id_with_two_texts(spark, turned):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(5, a), (5, b), (12, b + " end"), (13, a + " end"), (14, "c d e"), (3, None), (3, "f g h"), (20, "f g h")]
+    docs = frame(spark, [t for _, t in rows][:: -1 if turned else 1], [d for d, _ in rows][:: -1 if turned else 1])
+    got = sorted((r["doc_id"], r["component_id"], r["n_shingles"], r["kept"]) for r in neardup.near_duplicates(docs).collect())
+    assert got == [(3, 3, 0, True), (3, 3, 2, True), (5, 5, 29, True), (5, 5, 29, True), (12, 5, 30, False), (13, 5, 30, False), (14, 14, 2, True), (20, 3, 2, False)]
+
+
+def test_one_row_of_each_group_stays(spark):
+    docs = frame(spark, ["a b c d e f", "a b c d e f", "a b c d e f", "x y", None], [1, 1, 2, 3, None])
+    got = sorted(((r["doc_id"], r["text"]) for r in neardup.deduplicated(docs).collect()), key=str)
+    assert got == [(1, "a b c d e f"), (3, "x y"), (None, None)] and neardup.deduplicated(docs).columns == docs.columns
+
+
+def test_pairs_within_a_group_that_stars_leave_out(spark):
+    """One text in many edits, most of them under the threshold from one another: prefixes find what is linked, and rows stay few."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(60)]
+    texts = []
+    for i in range(260):
+        w = list(base)
+        for k in rng.sample(range(60), rng.choice([2, 4, 5, 6, 6, 7])):
+            w[k] = f"n{i}x{k}"
+        texts.append(" ".join(w))
+    sets = word_sets(texts, 2)
+    want = components(len(texts), alike(sets))
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want and 1 < len(set(want)) < 250
+
+
 # ---- 5
 
 
@@ -187,7 +241,7 @@ def test_fuzzy_lines(spark):
     keep = {flat[c][:2] for c in components(len(flat), alike(sets))}
     gone = {x[:2] for x in flat} - keep
     want = ["\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) if t is not None else None for d, t in enumerate(texts)]
-    found = linededup.dedup_lines(frame(spark, texts))
+    found = linededup.dedup_lines(frame(spark, texts), min_chars=30)
     assert {r["doc_id"]: r["text"] for r in found.collect()} == dict(enumerate(want))
     assert linededup.dedup_lines(frame(spark, texts).limit(0)).count() == 0
 

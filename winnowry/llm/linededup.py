@@ -3,12 +3,15 @@
 Lines are compared in lower case with white space collapsed; those shorter than ``min_chars`` are left alone.  With 1,
 as ``op6_line_dedup`` has it, every line that is not blank takes part; the pipeline's stage leaves lines under
 ``MIN_CHARS``.  Lines that are equal so are one class, whatever their number.  A class shorter than a shingle has no
-other relative; each other class has a MinHash signature over its character shingles; bands of minima (five each, 38
-times) give candidates, whose Jaccard similarity is computed from the lines themselves.  Linked classes form
-components, and of each component the first line stays: the one with the least doc_id, then the least line number.  All
-its other lines are removed.
+other relative; each other class has a MinHash signature over its character shingles; bands of minima give
+candidates, whose Jaccard similarity is computed from the lines themselves.  Linked classes form components, and of
+each component the first line stays: the one with the least doc_id, then the least line number.  All its other lines
+are removed.
 
-A pair of similarity 0.8 is no candidate once in four million cases, a more similar one far more rarely.
+Lines of one language share common shingles, so the chance that unlike lines share a band grows with their number; a
+band has more minima as the table has more rows (five up to some hundred rows, six at a quarter of a million), and
+there are as many bands as leave out one pair of similarity 0.8 in three million, and more similar ones far more
+rarely.  A class is named by a number of its own, not by a hash; two lines are equal if 128 bits of hash are.
 
 Edge cases: a null text stays null and has no lines; blank lines, and those under ``min_chars``, stay; rows that repeat
 a doc_id with equal text are judged as one row, with different texts in the order of a hash of the text; rows with a
@@ -27,8 +30,13 @@ from pyspark.sql import functions as F
 from . import links
 from .common import Scratch, among, lean
 
-SHAPE = links.Shape(rows=5, bands=38)
 SHINGLE = 5
+#: Minima of which low bits are kept for the estimate.
+SIGNED = 128
+#: Lines whose text a task remembers to have written.
+REMEMBERED = 200_000
+#: Tables of repeated lines are broadcast up to this size, at 64 bytes a row.
+BROADCAST_BYTES = 32 << 20
 MIN_CHARS = 30
 #: Characters hashed at a time.
 STEP = 1 << 17
@@ -94,91 +102,99 @@ def shingle_hashes(line: str) -> np.ndarray:
     return np.unique(h ^ (h >> np.uint64(31)))
 
 
-def _line_hash():
-    import xxhash
+def _seen(rows: DataFrame, min_chars: int) -> DataFrame:
+    """_id, _row, _line, h1, h2 of every line that takes part; place and text where a task has it for the first time."""
 
-    def h(line: str) -> tuple[int, int]:
-        d = xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
-        return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
-
-    return h
-
-
-def repeated_lines(rows: DataFrame, threshold: float, min_chars: int, shape: links.Shape, scratch: Scratch) -> DataFrame:
-    """_id, _row, _line of every line to be removed, of rows with _id, _row, _text."""
-
-    def occurrences(batches: Iterator) -> Iterator:
+    def split(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import xxhash
+        from pyspark import TaskContext
 
-        h = _line_hash()
+        digest = xxhash.xxh3_128_digest
+        known: set[bytes] = set()
+        place = TaskContext.get().partitionId() << 32
         for batch in batches:
-            out: list[tuple] = []
-            for d, r, text in zip(batch.column("_id").to_pylist(), batch.column("_row").to_pylist(), batch.column("_text").to_pylist(), strict=True):
-                out += ((d, r, i, *h(n)) for i, n in eligible(text, min_chars))
-            cols = list(zip(*out, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["_id", "_row", "_line", "h1", "h2"])
+            whose, line, hashes, places, shown = [], [], [], [], []
+            for k, text in enumerate(batch.column("_text").to_pylist()):
+                for i, n in eligible(text, min_chars):
+                    h = digest(n.encode("utf-8", "surrogatepass"))
+                    whose.append(k)
+                    line.append(i)
+                    hashes.append(h)
+                    if h in known:
+                        places.append(None)
+                        shown.append(None)
+                        continue
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known.add(h)
+                    places.append(place)
+                    shown.append(n)
+                    place += 1
+            both = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
+            of = pa.array(whose, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("_id").take(of), batch.column("_row").take(of), pa.array(line, pa.int32()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array(places, pa.int64()), pa.array(shown, pa.string())], ["_id", "_row", "_line", "h1", "h2", "place", "text"])
+
+    return rows.mapInArrow(lean(split), "_id long, _row long, _line int, h1 long, h2 long, place long, text string")
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if its size allows."""
+    return F.broadcast(table) if table.count() * 64 <= BROADCAST_BYTES else table
+
+
+def repeated_lines(rows: DataFrame, threshold: float, min_chars: int, shape: links.Shape | None, scratch: Scratch) -> DataFrame:
+    """_id, _row, _line of every line to be removed, of rows with _id, _row, _text."""
+    if shape is None:
+        shape = links.Shape.for_rows(rows.count(), threshold, SIGNED)
 
     def sketcher():
-        h, mh = _line_hash(), links.MinHash(shape)
+        mh = links.MinHash(shape)
 
         def sketch(batch):
-            # a line shorter than a shingle is like its equals alone, and they are one class
-            found = {h(n)[0]: n for text in batch.column("_text").to_pylist() for _, n in eligible(text, max(min_chars, SHINGLE))}
-            return np.array(list(found), np.int64), minima_of(list(found.values()), mh), {}
+            return batch.column("id").to_numpy(), minima_of(batch.column("text").to_pylist(), mh), {}
 
         return sketch
 
-    def lines(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        h = _line_hash()
-        for batch in batches:
-            found = {h(n)[0]: n for text in batch.column("_text").to_pylist() for _, n in eligible(text, min_chars)}
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], ["id", "text"])
-
-    def fetch(ids: DataFrame, name: str) -> DataFrame:
-        return among(rows.select("_text").mapInArrow(lean(lines), "id long, text string"), ids, "id").dropDuplicates(["id"])
-
-    seen = scratch.table(rows.mapInArrow(lean(occurrences), "_id long, _row long, _line int, h1 long, h2 long"), "seen")
-    made = links.band(rows.select("_text"), sketcher, shape, {}, scratch)
-    members = made.filter(F.col("kind") == links.UNDER_KEY).select("key", "id", "pivot")
-    signatures = made.filter(F.col("kind") == links.ITEM).dropDuplicates(["id"])
-    reached = lambda m, n, both: both >= threshold * (m + n - both) - 1e-9
-    labels = links.groups(members, signatures, shape, threshold, fetch, lambda: shingle_hashes, reached, scratch)
-    # A class that has no link stands for itself, by both halves of its hash
-    group = [F.coalesce("label", "h1").alias("g1"), F.when(F.col("label").isNull(), F.col("h2")).otherwise(F.lit(0)).alias("g2")]
-    placed = seen.join(labels.withColumnRenamed("id", "h1"), "h1", "left").select("_id", "_row", "_line", *group)
+    seen = scratch.table(_seen(rows, min_chars), "seen")
     order = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r"), F.col("_line").alias("l"))
-    first = placed.groupBy("g1", "g2").agg(F.min(order).alias("first"), F.count("*").alias("times")).filter("times > 1").select("g1", "g2", "first")
-    return placed.join(first, ["g1", "g2"]).filter(~order.eqNullSafe(F.col("first"))).select("_id", "_row", "_line")
-
-
-def dedup_lines(docs: DataFrame, threshold: float = 0.8, min_chars: int = MIN_CHARS, shape: links.Shape = SHAPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without repeated lines in their text, with n_lines (before) and n_removed."""
-    if {"n_lines", "n_removed"} & set(docs.columns):
-        raise ValueError("columns n_lines and n_removed are made here")
-    scratch, own = Scratch(docs.sparkSession, "lines"), list(docs.columns)
+    # A class is named by the least place at which its text stands
+    classes = scratch.table(seen.groupBy("h1", "h2").agg(F.min("place").alias("id"), F.count("place").alias("places"), F.count("*").alias("times")), "classes")
+    written = seen.filter("text is not null").select(F.col("place").alias("id"), "text")
+    # a line shorter than a shingle is like its equals alone, and they are one class
+    made = links.band(written.filter(F.length("text") >= SHINGLE), sketcher, shape, {}, scratch)
+    several = _small(scratch.table(classes.filter("places > 1").select("h1", "h2", "id"), "several"))
+    again = seen.filter("place is not null").join(several, ["h1", "h2"]).filter("place <> id").select("place", "id")
+    again = _small(scratch.table(again, "again"))
+    signatures = made.filter(F.col("kind") == links.ITEM).join(again.select(F.col("place").alias("id")), "id", "left_anti")
+    named = lambda c: again.select(F.col("place").alias(c), F.col("id").alias(f"_{c}"))
+    members = made.filter(F.col("kind") == links.UNDER_KEY).select("key", "id", "pivot", "pair").join(named("id"), "id", "left").join(named("pivot"), "pivot", "left")
+    members = scratch.table(members.select("key", F.coalesce("_id", "id").alias("id"), F.coalesce("_pivot", "pivot").alias("pivot"), "pair"), "members")
+    reached = lambda m, n, both: both >= threshold * (m + n - both) - 1e-9
+    labels = links.groups(members, signatures, shape, threshold, lambda ids, name: among(written, ids, "id"), lambda: shingle_hashes, reached, scratch)
+    # Classes that are linked, or stand more than once; a class without a link is its own group
+    groups = classes.join(_small(labels), "id", "left").filter("times > 1 or label is not null").select("h1", "h2", F.coalesce("label", "id").alias("g"))
+    groups = _small(scratch.table(groups, "groups"))
+    placed = scratch.table(seen.select("_id", "_row", "_line", "h1", "h2").join(groups, ["h1", "h2"]).select("g", "_id", "_row", "_line"), "placed")
+    stays = _small(scratch.table(placed.groupBy("g").agg(F.min(order).alias("stays")), "stays"))
+    return placed.join(stays, "g").filter(~order.eqNullSafe(F.col("stays"))).select("_id", "_row", "_line")
+
+
+def dedup_lines(docs: DataFrame, threshold: float = 0.8, min_chars: int = 1, shape: links.Shape | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without repeated lines in their text, with n_lines (before) and n_removed.
+
+    Columns of ``docs`` that have these two names are replaced.
+    """
+    docs = docs.drop("n_lines", "n_removed")
+    scratch = Scratch(docs.sparkSession, "lines")
     keyed = docs.withColumn("_id", F.col(id_col).cast("long")).withColumn("_row", F.xxhash64(id_col, text_col))
     rows = keyed.select("_id", "_row", F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     gone = scratch.table(repeated_lines(rows, threshold, min_chars, shape, scratch).groupBy("_id", "_row").agg(F.collect_set("_line").alias("_gone")), "gone")
-    scratch.drop("bands", "seen")
+    scratch.drop("bands", "members", "seen")
     joined = keyed.alias("d").join(gone.alias("g"), (F.col("d._row") == F.col("g._row")) & F.col("d._id").eqNullSafe(F.col("g._id")), "left")
-    joined = joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col("g._gone").alias("_gone"))
-
-    def cut(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            texts, n, removed = [], [], []
-            for text, gone in zip(batch.column(text_col).to_pylist(), batch.column("_gone").to_pylist(), strict=True):
-                n.append(0 if text is None else text.count("\n") + 1)
-                if gone:
-                    drop = set(gone)
-                    text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop)
-                texts.append(text)
-                removed.append(len(gone or ()))
-            cols = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in own]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(removed, pa.int64())], [*own, "n_lines", "n_removed"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(lean(cut), schema + ", n_lines long, n_removed long")
+    lines = F.split(F.col(f"d.`{text_col}`"), "\n", -1)
+    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("g._gone", i)), "\n")
+    text = F.when(F.col("g._gone").isNull(), F.col(f"d.`{text_col}`")).otherwise(kept)
+    made = [text.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in docs.columns]
+    n_lines = F.when(F.col(f"d.`{text_col}`").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long")
+    return joined.select(*made, n_lines.alias("n_lines"), F.coalesce(F.size("g._gone"), F.lit(0)).cast("long").alias("n_removed"))

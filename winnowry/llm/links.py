@@ -1,22 +1,26 @@
 """From signatures to groups: banding, candidate pairs, verification by the caller, connected components.
 
-Banding without pairs within a group.  The task that makes signatures keeps, of all items of an Arrow batch that share
-a band key, one pivot for that key's shuffle; the others are linked to the pivot at once and travel by themselves.  So
-a key held by a third of all items sends one row for each batch, not one for each item.  Behind the shuffle, a key's
-pivots are linked to one of them.  Pivots are picked at random by key, so an item meets many partners; the likeliest
-few by signature are verified, and what is linked gets one label by connected components.
-
-This leaves out pairs, so keys whose items still have different labels are taken up again.  First each item outside a
-key's largest label is verified against the likeliest of all it meets there, a few pairs for each item.  Then, where an
-item's signature is near that of an item of another label, the item (of the smaller label) is compared with all items
-of that label, on full sets, in blocks of bounded size: what is shuffled is one row for each item and label, and an
-item's set once for each block of others.  No pair of items of one label is ever looked at.  Two items that share
-several keys are looked at under the least of them.  After that every pair under a common key whose signatures allow
-the threshold is either in one label or known not to be linked.
+Banding without pairs within a group.  The task that makes signatures sorts its items by band key and keeps, of all
+that share a key, one pivot; the others are linked to the pivot at once and travel by themselves.  So a key held by a
+third of all items sends one entry for each task, not one for each item.  Entries travel packed: one binary row for
+each receiving partition, with 32 bits of a key and the differences of ids.  Behind the shuffle, a key's pivots are
+linked to one of them.  Pivots are picked at random by key, so an item meets many partners; the likeliest few by
+signature are verified (all, where a key has two items), and what is linked gets one label by connected components.
+
+This leaves out pairs, so keys of three items or more whose items still have different labels are taken up again.
+First each item outside a key's largest label is verified against the likeliest of all it meets in a block of the key.
+What then has another label near it, or stands in a key of several blocks, is *open*, and open items are compared by
+an exact prefix filter: the elements of each set are ordered by how rare they are among open items, rarest first; two
+sets of n elements that reach the threshold t must share one of the first n - ceil(t n) + 1, and behind the first one
+they share enough elements must be left.  Pairs that pass are confirmed on full sets.  So rows follow the sizes of
+sets, not of groups: members of a group of near copies that differ by rare elements of their own meet nowhere.  No
+pair of items of one label is ever looked at, and every pair under a common key whose signatures allow the threshold
+is in the end either in one label or known not to be linked.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,26 +32,46 @@ from pyspark.sql.window import Window
 from ..operators.graph import components
 from .common import Scratch, lean, partitions
 
-#: Items of a key, or of a label, that stand in one block when labels are compared; items that ask at a time.
-BLOCK, ASKING = 2048, 256
+#: Items of a key that stand in one block when labels are compared.
+BLOCK = 2048
 #: Pivots of an item that are verified at first.
 PARTNERS = 4
 
 
+#: Band entries that a task gathers before it sends them on, and open entries.
+GATHERED = 1 << 21
+#: Counters of how often set elements occur among open items; a counter over ``HOT`` splits its elements' items.
+COUNTERS, HOT = 1 << 20, 1 << 20
+#: Pairs looked at in one go.
+PAIRS = 1 << 20
+
+
 @dataclass(frozen=True)
 class Shape:
-    """``bands`` of ``rows`` minima each; two low bits of every minimum are kept in ``words`` integers."""
+    """``bands`` of ``rows`` minima each; two low bits of up to ``most`` minima (of all, if 0) are kept in ``words`` integers."""
 
     rows: int
     bands: int
+    most: int = 0
+
+    @classmethod
+    def for_rows(cls, n: int, threshold: float, most: int = 0, miss: float = 3e-7) -> Shape:
+        """A shape for tables of about ``n`` rows: more minima a band as there are more chance partners, and as many
+        bands as leave out one of 1 / ``miss`` pairs at the threshold."""
+        rows = max(5, 1 + math.ceil(math.log(max(n, 2)) / math.log(12.5)))
+        return cls(rows, math.ceil(math.log(miss) / math.log(1 - threshold**rows)), most)
 
     @property
     def minima(self) -> int:
         return self.rows * self.bands
 
+    @property
+    def signed(self) -> int:
+        return min(self.minima, self.most or self.minima)
+
     @property
     def words(self) -> int:
-        return -(-self.minima // 32)
+        return -(-self.signed // 32)
 
     def likeness(self, a: str, b: str) -> Column:
         """The estimate of Jaccard similarity from two packed signatures.
@@ -59,19 +83,19 @@ class Shape:
         for w in range(self.words):
             x = F.col(f"{a}s{w}").bitwiseXOR(F.col(f"{b}s{w}"))
             differ = differ + F.bit_count((x.bitwiseOR(F.shiftrightunsigned(x, 1))).bitwiseAND(F.lit(0x5555555555555555)))
-        agree = 1 - differ / F.lit(float(self.minima))
+        agree = 1 - differ / F.lit(float(self.signed))
         return (agree - 0.25) / 0.75
 
     def estimates(self, one: np.ndarray, many: np.ndarray) -> np.ndarray:
         """As likeness, of one packed signature with each of many."""
         x = many ^ one
         differ = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
-        return (1 - differ / self.minima - 0.25) / 0.75
+        return (1 - differ / self.signed - 0.25) / 0.75
 
     def least_estimate(self, threshold: float) -> float:
         """What the estimate of a pair at the threshold stays above, but for about one pair in a billion."""
         agree = 0.25 + 0.75 * threshold
-        return threshold - 6 * (agree * (1 - agree) / self.minima) ** 0.5 / 0.75
+        return threshold - 6 * (agree * (1 - agree) / self.signed) ** 0.5 / 0.75
 
 
 class MinHash:
@@ -107,7 +131,7 @@ class MinHash:
 
     def packed(self, minima: np.ndarray) -> np.ndarray:
         two = np.zeros((len(minima), self.shape.words * 32), np.uint64)
-        two[:, : self.shape.minima] = minima & np.uint32(3)
+        two[:, : self.shape.signed] = minima[:, : self.shape.signed] & np.uint32(3)
         two = two.reshape(len(minima), self.shape.words, 32) << (2 * np.arange(32, dtype=np.uint64))
         return np.bitwise_or.reduce(two, axis=2)
 
@@ -117,6 +141,20 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit integers as differences, byte by byte: rising numbers become runs of zeros that any codec shrinks."""
+    return np.diff(x.view(np.uint64), prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unplaned(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64).view(np.int64)
+
+
+def _starts(sorted_: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin."""
+    return np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])) if len(sorted_) else np.zeros(0, np.int64)
+
+
 #: What a row is: an item under a key, or an item's signature and what comes with it.
 UNDER_KEY, ITEM = 0, 1
 Sketcher = Callable[[object], tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]]
@@ -126,168 +164,189 @@ def band(rows: DataFrame, sketcher: Callable[[], Sketcher], shape: Shape, extra:
     """Items under keys that more than one item has, and one row for each item; a written table.
 
     ``sketcher()`` makes, in a task, a function from an Arrow batch to (ids, minima, extra columns) of its items.
-    Columns: kind, key, id, pivot, s0.., and those of ``extra`` (name to type), which only rows of items have.
+    Columns: kind, key, id, pivot, pair (whether the key has two items), s0.., and those of ``extra`` (name to type),
+    which only rows of items have.
     """
+    spark = rows.sparkSession
+    parts = partitions(spark)
     sigs = [f"s{w}" for w in range(shape.words)]
-    schema = "kind int, route long, key long, id long, pivot long, many boolean, " + ", ".join(f"{s} long" for s in sigs) + "".join(f", {n} {t}" for n, t in extra.items())
+    own = "id long, " + ", ".join(f"{s} long" for s in sigs) + "".join(f", {n} {t}" for n, t in extra.items())
+    item = ["id", *sigs, *extra]
+
+    def kinds(pa):
+        return {"long": pa.int64(), "int": pa.int32()}
 
     def produce(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         sketch, mh = sketcher(), MinHash(shape)
-        kinds = {"long": pa.int64(), "int": pa.int32()}
+        types = [pa.int64()] * (1 + shape.words) + [kinds(pa)[t] for t in extra.values()]
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        count = 0
+
+        def packed() -> Iterator:
+            """Entries (32 bits of the key, id, whether others wait behind it) and stars (key, id, pivot), by partition."""
+            keys, owner = (np.concatenate(x) for x in zip(*held, strict=True))
+            part = (keys >> np.uint64(32)) % np.uint64(parts)
+            low = keys & np.uint64(0xFFFFFFFF)
+            whole = part << np.uint64(32) | low
+            order = np.argsort(whole, kind="stable")
+            whole, owner = whole[order], owner[order]
+            start = _starts(whole)
+            size = np.diff(np.append(start, len(whole)))
+            # the pivot of a key: any of its items, by chance
+            at = start + (_mixed(whole[start]) % size.astype(np.uint64)).astype(np.int64)
+            pivot = owner[at]
+            waits = owner != np.repeat(pivot, size)
+            many = np.add.reduceat(waits, start) > 0
+            by_id = np.lexsort((pivot, whole[start] >> np.uint64(32)))
+            k, i, m = whole[start][by_id], pivot[by_id], many[by_id]
+            stars = np.stack([whole[waits].view(np.int64), owner[waits], np.repeat(pivot, size)[waits]])
+            to = (_mixed(whole[waits] ^ owner[waits].view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            turn = np.argsort(to, kind="stable")
+            stars, to = stars[:, turn], to[turn]
+            bounds = np.searchsorted(k >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+            ends = np.searchsorted(to, np.arange(parts + 1))
+            for p in range(parts):
+                a, b, c, d = bounds[p], bounds[p + 1], ends[p], ends[p + 1]
+                if a < b or c < d:
+                    yield p, (k[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), _planes(i[a:b]), np.packbits(m[a:b]).tobytes(), stars[:, c:d].tobytes()
+
+        def blobs() -> Iterator:
+            found = list(packed())
+            for at in range(0, len(found), 256):
+                p, k, i, m, s = zip(*found[at : at + 256], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), *[pa.array(x, pa.binary()) for x in (k, i, m, s)], *[pa.nulls(len(p), t) for t in types]], ["part", "keys", "ids", "many", "stars", *item])
+
         for batch in batches:
             ids, minima, more = sketch(batch)
             n = len(ids)
             if not n:
                 continue
-            with_set = np.flatnonzero(minima.any(axis=1)) if minima.size else np.zeros(0, int)
-            keys = mh.keys(minima[with_set]).ravel()
-            owner = np.repeat(ids[with_set], shape.bands)
-            order = np.lexsort((owner, _mixed(keys ^ owner.view(np.uint64)), keys))
-            keys, owner = keys[order], owner[order]
-            new = np.ones(len(keys), bool)
-            new[1:] = keys[1:] != keys[:-1]
-            again = ~new
-            again[1:] &= owner[1:] != owner[:-1]
-            start = np.flatnonzero(new)
-            pivot = np.repeat(owner[start], np.diff(np.append(start, len(keys)))) if len(keys) else owner
-            many = np.zeros(len(keys), bool)
-            many[start] = np.add.reduceat(again, start) > 0 if len(start) else False
-            keep = new | again
-            keys, owner, pivot, many, new = keys[keep], owner[keep], pivot[keep], many[keep], new[keep]
-            route = np.where(new, keys, _mixed(keys ^ owner.view(np.uint64)))
-            nulls = lambda t, n=len(keys): pa.nulls(n, t)
+            with_set = np.flatnonzero(minima.any(axis=1))
+            if len(with_set):
+                held.append((mh.keys(minima[with_set]).ravel(), np.repeat(ids[with_set], shape.bands)))
+                count += len(held[-1][0])
+            codes = mh.packed(minima).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(keys), np.int32)), pa.array(route.view(np.int64)), pa.array(keys.view(np.int64)), pa.array(owner), pa.array(pivot, mask=new), pa.array(many), *[nulls(pa.int64()) for _ in sigs], *[nulls(kinds[t]) for t in extra.values()]],
-                ["kind", "route", "key", "id", "pivot", "many", *sigs, *extra],
-            )
-            packed = mh.packed(minima).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(n, np.int32)), pa.array(_mixed(ids.view(np.uint64)).view(np.int64)), pa.nulls(n, pa.int64()), pa.array(ids), pa.nulls(n, pa.int64()), pa.array(np.zeros(n, bool)), *[pa.array(packed[:, w]) for w in range(shape.words)], *[pa.array(more[c], kinds[t]) for c, t in extra.items()]],
-                ["kind", "route", "key", "id", "pivot", "many", *sigs, *extra],
+                [pa.array((_mixed(ids.view(np.uint64)) % np.uint64(parts)).astype(np.int32)), *[pa.nulls(n, pa.binary()) for _ in range(4)], pa.array(ids), *[pa.array(codes[:, w]) for w in range(shape.words)], *[pa.array(more[c], kinds(pa)[t]) for c, t in extra.items()]],
+                ["part", "keys", "ids", "many", "stars", *item],
             )
+            if count >= GATHERED:
+                yield from blobs()
+                held, count = [], 0
+        if held:
+            yield from blobs()
 
     def reduce(batches: Iterator) -> Iterator:
-        """Rows of a key stand together in an order by chance.  A key with one id is left out unless others wait behind that id."""
+        """A key with one item is left out unless others wait behind that one."""
         import pyarrow as pa
 
-        key = first = last = None  # of the run that goes on
-        shown = True  # whether the run's first row is out
-        names = ["kind", "key", "id", "pivot", *sigs, *extra]
+        types = [pa.int64()] * shape.words + [kinds(pa)[t] for t in extra.values()]
+        names = ["kind", "key", "id", "pivot", "pair", *item[1:]]
+        keys, ids, many = [], [], []
 
-        def block(k, i, p):
-            kinds = {"long": pa.int64(), "int": pa.int32()}
-            return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(k), np.int32)), pa.array(k), pa.array(i), pa.array(p), *[pa.nulls(len(k), pa.int64()) for _ in sigs], *[pa.nulls(len(k), kinds[t]) for t in extra.values()]], names)
+        def under(key, i, pivot, pair):
+            return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(key), np.int32)), pa.array(key), pa.array(i), pa.array(pivot), pa.array(pair), *[pa.nulls(len(key), t) for t in types]], names)
 
         for batch in batches:
-            pivots = batch.column("pivot")
-            open_rows = np.asarray(batch.column("kind")) == UNDER_KEY
-            open_rows &= np.asarray(pivots.is_null())
-            rest = batch.filter(pa.array(~open_rows))
-            if rest.num_rows:
-                yield rest.select(names)
-            if not open_rows.any():
-                continue
-            k, i, m = (np.asarray(batch.column(c).filter(pa.array(open_rows))) for c in ("key", "id", "many"))
-            begins = np.ones(len(k), bool)
-            begins[1:] = k[1:] != k[:-1]
-            if key is not None and k[0] == key:
-                begins[0] = False
-            start = np.flatnonzero(np.append(True, begins[1:]))
-            run_first = i[start].copy()
-            if not begins[0]:
-                run_first[0] = first
-            size = np.diff(np.append(start, len(k)))
-            pivot = np.repeat(run_first, size)
-            other = i != pivot  # a member beside the first
-            other[1:] &= ~((k[1:] == k[:-1]) & (i[1:] == i[:-1]))
-            if not begins[0] and i[0] == last:
-                other[0] = False
-            wanted = np.logical_or.reduceat(other | m, start)
-            show = other.copy()
-            show[start] |= begins[start] & wanted
-            if not begins[0] and not shown and wanted[0]:
-                yield block(np.array([key]), np.array([first]), np.array([first]))
-                shown = True
-            if show.any():
-                yield block(k[show], i[show], pivot[show])
-            # A last run that began here and has shown nothing waits for the next batch
-            if begins[start[-1]]:
-                shown = bool(wanted[-1])
-            key, first, last = k[-1], run_first[-1], i[-1]
-
-    made = rows.mapInArrow(lean(produce), schema).repartition(partitions(rows.sparkSession), "route").sortWithinPartitions("kind", "route", F.xxhash64("route", "id"), "id")
-    out = "kind int, key long, id long, pivot long, " + ", ".join(f"{s} long" for s in sigs) + "".join(f", {n} {t}" for n, t in extra.items())
-    return scratch.table(made.mapInArrow(lean(reduce), out), name)
+            blob = batch.filter(batch.column("keys").is_valid())
+            rest = batch.filter(batch.column("keys").is_null())
+            if n := rest.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), rest.column("id"), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), *[rest.column(c) for c in item[1:]]], names)
+            for p, k, i, m, s in zip(*(blob.column(c).to_pylist() for c in ("part", "keys", "ids", "many", "stars")), strict=True):
+                k = np.frombuffer(k, np.uint32)
+                keys.append(np.uint64(p) << np.uint64(32) | k.astype(np.uint64))
+                ids.append(_unplaned(i))
+                many.append(np.unpackbits(np.frombuffer(m, np.uint8), count=len(k)).astype(bool))
+                if s:
+                    key, i, pivot = np.frombuffer(s, np.int64).reshape(3, -1)
+                    yield under(key, i, pivot, np.zeros(len(key), bool))
+        if not keys:
+            return
+        k, i, m = map(np.concatenate, (keys, ids, many))
+        del keys, ids, many
+        order = np.lexsort((_mixed(i.view(np.uint64) ^ k), k))
+        k, i, m = k[order], i[order], m[order]
+        start = _starts(k)
+        size = np.diff(np.append(start, len(k)))
+        pivot = np.repeat(i[start], size)
+        again = np.append(False, (k[1:] == k[:-1]) & (i[1:] == i[:-1]))
+        others = np.add.reduceat((i != pivot) & ~again, start)
+        waits = np.maximum.reduceat(m, start)
+        show = ~again & np.repeat((others > 0) | waits, size)
+        pair = np.repeat((others == 1) & ~waits, size)
+        for at in range(0, len(k), PAIRS):
+            some = np.flatnonzero(show[at : at + PAIRS]) + at
+            if len(some):
+                yield under(k[some].view(np.int64), i[some], pivot[some], pair[some])
+
+    sent = rows.mapInArrow(lean(produce), f"part int, keys binary, ids binary, many binary, stars binary, {own}")
+    out = "kind int, key long, id long, pivot long, pair boolean, " + own.removeprefix("id long, ")
+    return scratch.table(sent.repartitionById(parts, "part").mapInArrow(lean(reduce), out), name)
 
 
 def star_pairs(members: DataFrame, signatures: DataFrame, shape: Shape, threshold: float) -> DataFrame:
-    """Pairs (a, b) of an item and those of its keys' pivots that look most alike and may reach the threshold."""
-    pairs = members.filter("id <> pivot").select("id", "pivot").distinct()
+    """Pairs (a, b) of items that may reach the threshold: an item and those of its keys' pivots that look most alike, and all keys of two items."""
+    pairs = members.filter("id <> pivot").groupBy("id", "pivot").agg(F.max("pair").alias("pair"))
     sigs = [f"s{w}" for w in range(shape.words)]
     a = signatures.select("id", *[F.col(s).alias(f"a{s}") for s in sigs])
     b = signatures.select(F.col("id").alias("pivot"), *[F.col(s).alias(f"b{s}") for s in sigs])
-    seen = pairs.join(a, "id").join(b, "pivot").select("id", "pivot", shape.likeness("a", "b").alias("e")).filter(F.col("e") >= shape.least_estimate(threshold))
+    seen = pairs.join(a, "id").join(b, "pivot").select("id", "pivot", "pair", shape.likeness("a", "b").alias("e")).filter(F.col("e") >= shape.least_estimate(threshold))
     # An item has one pivot for each band at most
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("e"), "pivot"))
-    return seen.withColumn("r", rank).filter(F.col("r") <= PARTNERS).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+    return seen.withColumn("r", rank).filter((F.col("r") <= PARTNERS) | F.col("pair")).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
 
 
 def _meetings(members: DataFrame, labels: DataFrame, signatures: DataFrame, shape: Shape, scratch: Scratch, name: str) -> DataFrame:
-    """Keys whose items have different labels, dealt in blocks: rows of a block's items, then of the items that ask it.
-
-    ``keys`` lists all such keys of an item, one for each band at most.
-    """
+    """Keys of three items or more with different labels, dealt in blocks; ``asks``: the item is outside the key's largest label."""
     sizes = labels.groupBy("label").count().withColumnRenamed("count", "size")
     sized = labels.join(sizes, "label").select("id", "label", "size")
-    held = members.select("key", "id").distinct().join(sized, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
+    held = members.filter("not pair").select("key", "id").distinct().join(sized, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
     held = scratch.table(held, f"{name}-held")
     keys = held.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("size", "label")).alias("main"), F.count("*").alias("n")).filter("low <> high")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    keys = keys.select("key", F.col("main.label").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     sigs = [f"s{w}" for w in range(shape.words)]
-    active = held.join(keys.select("key", F.col("main.label").alias("main"), blocks.alias("blocks")), "key").join(signatures.select("id", *sigs), "id")
-    active = scratch.table(active, f"{name}-active")
-    active = active.join(active.groupBy("id").agg(F.collect_set("key").alias("keys")), "id")
-    row = ["key", "block", "id", "label", "size", *sigs, "keys"]
-    # Whatever a key's largest label holds asks nothing: the others ask it
-    asked = active.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).select(*row, F.lit(0).alias("asks"))
-    asking = active.filter("label <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*row, F.lit(1).alias("asks"))
-    return asked.unionByName(asking).repartition(partitions(labels.sparkSession), "key", "block").sortWithinPartitions("key", "block", "asks")
+    active = held.join(keys, "key").join(signatures.select("id", *sigs), "id")
+    block = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int").alias("block")
+    active = active.select("key", block, "id", "label", "size", *sigs, (F.col("label") != F.col("main")).alias("asks"), (F.col("blocks") > 1).alias("split"))
+    return scratch.table(active.repartition(partitions(labels.sparkSession), "key", "block").sortWithinPartitions("key", "block"), f"{name}-active")
 
 
-def _larger(batches: Iterator, shape: Shape, least: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each item that asks: itself, and ids, labels and estimates of its block's items of larger labels that are near.
+def _blocks(batches: Iterator, shape: Shape) -> Iterator[tuple]:
+    """ids, labels, sizes, signatures, asks, split of each block; blocks come sorted and may go on over batches."""
+    names = ["id", "label", "size", "asks", "split", *[f"s{w}" for w in range(shape.words)]]
+    here, parts = None, []
+
+    def joined() -> tuple:
+        c = [np.concatenate([p[n] for p in parts]) for n in names]
+        return c[0], c[1], c[2], np.stack(c[5:], axis=1).view(np.uint64), c[3], bool(c[4][0])
 
-    Two items that share several keys meet under the least of them alone.
-    """
-    sigs = [f"s{w}" for w in range(shape.words)]
-    here, block, rows = None, None, []
     for batch in batches:
-        keys, parts, names, own, size, asks = (batch.column(c).to_pylist() for c in ("key", "block", "id", "label", "size", "asks"))
-        codes = np.stack([batch.column(c).to_numpy() for c in sigs], axis=1).view(np.uint64)
-        known = batch.column("keys").to_pylist()
-        for i in range(batch.num_rows):
-            if (keys[i], parts[i]) != here:
-                here, block, rows = (keys[i], parts[i]), None, []
-            if not asks[i]:
-                rows.append((names[i], own[i], size[i], codes[i], known[i]))
-                continue
-            if not rows:
-                continue
-            if block is None:
-                n, o, z, c, shared = zip(*rows, strict=True)
-                block = (np.array(n, np.int64), np.array(o, np.int64), np.array(z, np.int64), np.array(c, np.uint64), shared)
-            ids, labels, sizes, theirs, shared = block
-            ok = np.flatnonzero((sizes > size[i]) | ((sizes == size[i]) & (labels > own[i])))
-            if len(ok):
-                e = shape.estimates(codes[i], theirs[ok])
-                near = e >= least
-                mine = set(known[i])
-                for k in np.flatnonzero(near):
-                    near[k] = min(mine.intersection(shared[ok[k]])) == keys[i]
-                if near.any():
-                    yield names[i], ids[ok[near]], labels[ok[near]], e[near]
+        if not batch.num_rows:
+            continue
+        cols = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("key", "block", *names)}
+        new = np.append(True, (cols["key"][1:] != cols["key"][:-1]) | (cols["block"][1:] != cols["block"][:-1]))
+        start = np.flatnonzero(new)
+        for a, b in zip(start, np.append(start[1:], len(new)), strict=True):
+            place = (cols["key"][a], cols["block"][a])
+            if parts and place != here:
+                yield joined()
+                parts = []
+            here = place
+            parts.append({n: cols[n][a:b] for n in names})
+    if parts:
+        yield joined()
+
+
+def _nearest(block: tuple, shape: Shape, least: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of each item that asks: its place, the places of items of larger labels that are near it, and the estimates."""
+    _, labels, sizes, codes, asks, _ = block
+    for i in np.flatnonzero(asks):
+        ok = np.flatnonzero((sizes > sizes[i]) | ((sizes == sizes[i]) & (labels > labels[i])))
+        e = shape.estimates(codes[i], codes[ok])
+        near = e >= least
+        yield i, ok[near], e[near]
 
 
 def best_pairs(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame:
@@ -297,39 +356,38 @@ def best_pairs(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame
     def best(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        out: list[tuple[int, int, float]] = []
-        for name, ids, _, e in _larger(batches, shape, least):
-            k = int(e.argmax())
-            out.append((name, int(ids[k]), float(e[k])))
-            if len(out) >= 10_000:
+        for block in _blocks(batches, shape):
+            out = [(int(block[0][i]), int(block[0][near[e.argmax()]]), float(e.max())) for i, near, e in _nearest(block, shape, least) if len(near)]
+            if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["id", "other", "e"])
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["id", "other", "e"])
 
-    # One row for each key of an item and block of that key
+    # One row for each key of an item at most
     seen = meetings.mapInArrow(lean(best), "id long, other long, e double").distinct()
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("e"), "other"))
     return seen.withColumn("r", rank).filter(F.col("r") <= PARTNERS).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def open_labels(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame:
-    """id, label: an item, and a larger label with an item under a common key whose signature allows the threshold."""
+def open_items(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame:
+    """id, label, asks: items that may be linked to an item of another label under a common key."""
     least = shape.least_estimate(threshold)
 
-    def near(batches: Iterator) -> Iterator:
+    def found(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        out: set[tuple[int, int]] = set()
-        for name, _, labels, _ in _larger(batches, shape, least):
-            out.update((name, int(x)) for x in np.unique(labels))
-            if len(out) >= 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["id", "label"])
-                out = set()
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["id", "label"])
+        for block in _blocks(batches, shape):
+            ids, labels, _, _, asks, split = block
+            if split:  # its other blocks are not seen here
+                wanted, asking = np.ones(len(ids), bool), asks.astype(bool)
+            else:
+                wanted, asking = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+                for i, near, _ in _nearest(block, shape, least):
+                    if len(near):
+                        asking[i] = wanted[i] = True
+                        wanted[near] = True
+            if wanted.any():
+                yield pa.RecordBatch.from_arrays([pa.array(ids[wanted]), pa.array(labels[wanted]), pa.array(asking[wanted])], ["id", "label", "asks"])
 
-    return meetings.mapInArrow(lean(near), "id long, label long").distinct()
+    return meetings.mapInArrow(lean(found), "id long, label long, asks boolean").groupBy("id", "label").agg(F.max("asks").alias("asks"))
 
 
 Fetch = Callable[[DataFrame, str], DataFrame]
@@ -362,68 +420,127 @@ def verified(pairs: DataFrame, fetch: Fetch, sets: Sets, test: Test, scratch: Sc
     return both.select("a", "b", "ta", "tb").mapInArrow(lean(run), "a long, b long").distinct()
 
 
-def verified_against_labels(asks: DataFrame, labels: DataFrame, fetch: Fetch, sets: Sets, test: Test, scratch: Scratch, name: str) -> DataFrame:
-    """Links (a, b) between items and the labels they ask for: every item of the label is compared, on full sets.
+def _rarity(items: DataFrame, sets: Sets) -> np.ndarray:
+    """How often set elements occur among the items, by a hash of theirs: ``COUNTERS`` numbers, whatever the input."""
+    slice_ = 1 << 14
+
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        set_of, sums = sets(), np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for t in batch.column("text").to_pylist():
+                s = set_of(t) & np.uint64(COUNTERS - 1)
+                np.add.at(sums, s.astype(np.int64), 1)
+        if sums.any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(COUNTERS // slice_), pa.int32()), pa.array([sums[k : k + slice_].tobytes() for k in range(0, COUNTERS, slice_)], pa.binary())], ["slice", "sums"])
+
+    def add(key, rows):
+        import pandas as pd
+
+        total = sum((np.frombuffer(x, np.int64) for x in rows["sums"]), np.zeros(slice_, np.int64))
+        return pd.DataFrame({"slice": [key[0]], "sums": [total.tobytes()]})
+
+    out = np.zeros(COUNTERS, np.int64)
+    for r in items.select("text").mapInArrow(lean(count), "slice int, sums binary").groupBy("slice").applyInPandas(add, "slice int, sums binary").collect():
+        out[r["slice"] * slice_ : (r["slice"] + 1) * slice_] = np.frombuffer(r["sums"], np.int64)
+    return out
 
-    Items that ask one label are dealt over blocks of ``ASKING``, the label's items over chunks of ``BLOCK``; a task
-    holds the sets of a block and streams a chunk past them.  It reports one link of each item at most.
+
+def prefix_pairs(items: DataFrame, sets: Sets, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different labels, one of which asks, that an exact prefix filter can't rule out.
+
+    ``items``: id, label, asks, text, a written table.  Entries of an element that many items have are dealt over
+    several groups: each item that does not ask stands in one, an item that asks in all.
     """
-    asks = scratch.table(asks, f"{name}-asks")
-    # A label without links is its only item
-    ask_n = asks.groupBy("label").agg(F.count("*").alias("asking"))
-    held = ask_n.join(labels.select("label", "id"), "label", "left").select("label", "asking", F.coalesce("id", "label").alias("id"))
-    sizes = held.groupBy("label").agg(F.max("asking").alias("asking"), F.count("*").alias("n")).select("label", F.ceil(F.col("asking") / ASKING).cast("int").alias("blocks"), F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    a = asks.join(sizes, "label").withColumn("block", part("blocks")).withColumn("chunk", each("chunks")).select("label", "block", "chunk", "id", F.lit(0).alias("kind"))
-    b = held.select("label", "id").join(sizes, "label").withColumn("chunk", part("chunks")).withColumn("block", each("blocks")).select("label", "block", "chunk", "id", F.lit(1).alias("kind"))
-    meet = scratch.table(a.unionByName(b), f"{name}-meet")
-    ids = scratch.table(meet.select("id").distinct(), f"{name}-ids")
-    needed = scratch.table(fetch(ids, name), f"{name}-texts")
+    parts = partitions(items.sparkSession)
+    rare = np.minimum(_rarity(items, sets), np.iinfo(np.uint32).max).astype(np.uint32)
+    shared = items.sparkSession.sparkContext.broadcast(rare)
+    entry = np.dtype([("element", "<u8"), ("id", "<i8"), ("label", "<i8"), ("n", "<u4"), ("at", "<u4"), ("asks", "?")])
 
-    def run(batches: Iterator) -> Iterator:
+    def produce(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        set_of = sets()
-        here, asking, lengths, flat, owner, linked = None, [], [], [], [], None
-        ready = None
+        set_of, often, held, count = sets(), shared.value, [], 0
+
+        def blobs():
+            rows = np.concatenate(held)
+            to = (_mixed(rows["element"]) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            rows, to = rows[order], to[order]
+            bounds = np.searchsorted(to, np.arange(parts + 1))
+            found = [(p, rows[bounds[p] : bounds[p + 1]].tobytes()) for p in range(parts) if bounds[p] < bounds[p + 1]]
+            return pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["part", "rows"])
+
         for batch in batches:
-            out: list[tuple[int, int]] = []
-            cols = [batch.column(c).to_pylist() for c in ("label", "block", "chunk", "kind", "id", "text")]
-            for label, block, chunk, kind, i, text in zip(*cols, strict=True):
-                if (label, block, chunk) != here:
-                    here, ready = (label, block, chunk), None
-                    asking, lengths, flat, owner = [], [], [], []
-                s = set_of(text)
-                if kind == 0:
-                    owner.append(np.full(len(s), len(asking)))
-                    asking.append(i)
-                    lengths.append(len(s))
-                    flat.append(s)
-                    continue
-                if not asking:
-                    continue
-                if ready is None:
-                    all_ = np.concatenate(flat)
-                    order = np.argsort(all_, kind="stable")
-                    ready, who, linked = all_[order], np.concatenate(owner)[order], np.zeros(len(asking), bool)
-                    sizes_ = np.array(lengths)
-                if linked.all():
-                    continue
-                lo, hi = np.searchsorted(ready, s, "left"), np.searchsorted(ready, s, "right")
-                n = hi - lo
-                got = n > 0
-                at = np.repeat(lo[got] - (np.cumsum(n[got]) - n[got]), n[got]) + np.arange(int(n.sum()))
-                both = np.bincount(who[at], minlength=len(asking))
-                for k in np.flatnonzero((both > 0) & ~linked):
-                    if asking[k] != i and test(int(sizes_[k]), len(s), int(both[k])):
-                        linked[k] = True
-                        out.append((asking[k], i))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out]), pa.array([x for _, x in out])], ["a", "b"])
+            for i, label, asks, t in zip(*(batch.column(c).to_pylist() for c in ("id", "label", "asks", "text")), strict=True):
+                s = set_of(t)
+                n = len(s)
+                times = often[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                first = np.lexsort((s, times))[: n - math.ceil(threshold * n - 1e-9) + 1]
+                s, groups = s[first], 1 + times[first].astype(np.int64) // HOT
+                at = np.arange(len(s))
+                turn = np.zeros(len(s), np.int64)
+                if (groups > 1).any():
+                    if asks:
+                        at = np.repeat(at, groups)
+                        turn = np.arange(len(at)) - np.repeat(np.cumsum(groups) - groups, groups)
+                    else:
+                        turn = (_mixed(s ^ np.uint64(i & 0xFFFFFFFFFFFFFFFF)) % groups.astype(np.uint64)).astype(np.int64)
+                rows = np.empty(len(at), entry)
+                rows["element"] = s[at] + turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                rows["id"], rows["label"], rows["n"], rows["at"], rows["asks"] = i, label, n, at, asks
+                held.append(rows)
+                count += len(rows)
+                if count >= GATHERED:
+                    yield blobs()
+                    held, count = [], 0
+        if held:
+            yield blobs()
+
+    def meet(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    rows = meet.join(needed.select("id", "text"), "id").repartition(partitions(asks.sparkSession), "label", "block", "chunk").sortWithinPartitions("label", "block", "chunk", "kind")
-    return rows.select("label", "block", "chunk", "kind", "id", "text").mapInArrow(lean(run), "a long, b long").distinct()
+        rows = [np.frombuffer(b, entry) for batch in batches for b in batch.column("rows").to_pylist()]
+        if not rows:
+            return
+        rows = np.concatenate(rows)
+        rows = rows[np.argsort(rows["element"], kind="stable")]
+        start = _starts(rows["element"])
+        size = np.diff(np.append(start, len(rows)))
+        low, high = np.repeat(start, size), np.repeat(start + size, size)
+        n, left = rows["n"].astype(np.int64), rows["n"].astype(np.int64) - rows["at"]  # elements from this one on
+        ids, labels, asks = rows["id"], rows["label"], rows["asks"]
+        who = np.flatnonzero(asks & (high - low > 1))
+        # who asks meets its element's items, some at a time
+        a, at, end = [], [], []
+        for k in range(0, int((high - low)[who].max(initial=0)), PAIRS):
+            more = who[(high - low)[who] > k]
+            a.append(more)
+            at.append(low[more] + k)
+            end.append(np.minimum(low[more] + k + PAIRS, high[more]))
+        if not a:
+            return
+        a, at, end = map(np.concatenate, (a, at, end))
+        total = np.cumsum(end - at)
+        begin = 0
+        while begin < len(a):
+            stop = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + PAIRS, "right")))
+            length = end[begin:stop] - at[begin:stop]
+            x = np.repeat(a[begin:stop], length)
+            y = np.repeat(at[begin:stop] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+            begin = stop
+            ok = (labels[x] != labels[y]) & ~(asks[y] & (ids[y] < ids[x]))
+            x, y = x[ok], y[ok]
+            # behind the first element that both have, enough must be left
+            need = threshold / (1 + threshold) * (n[x] + n[y]) - 1e-6
+            ok = (np.minimum(left[x], left[y]) >= need) & (np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]) - 1e-6)
+            if ok.any():
+                pairs = np.unique(np.sort(np.stack([ids[x[ok]], ids[y[ok]]], axis=1), axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    sent = items.select("id", "label", "asks", "text").mapInArrow(lean(produce), "part int, rows binary")
+    return sent.repartitionById(parts, "part").mapInArrow(lean(meet), "a long, b long").distinct()
 
 
 def groups(members: DataFrame, signatures: DataFrame, shape: Shape, threshold: float, fetch: Fetch, sets: Sets, test: Test, scratch: Scratch) -> DataFrame:
@@ -437,13 +554,21 @@ def groups(members: DataFrame, signatures: DataFrame, shape: Shape, threshold: f
     labels = scratch.table(components(first, scratch, "first"), "labels")
 
     def joined(labels: DataFrame, more: DataFrame, name: str) -> DataFrame:
+        """Labels after more links: these join labels, which are far fewer than items."""
         if more.isEmpty():
             return labels
-        known = labels.select(F.col("id").alias("a"), F.col("label").alias("b")).filter("a <> b")
-        return scratch.table(components(known.unionByName(more), scratch, name), f"{name}-labels")
+        named = lambda c: labels.select(F.col("id").alias(c), F.col("label").alias(f"l{c}"))
+        held = scratch.table(more.join(named("a"), "a", "left").join(named("b"), "b", "left").select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")), f"{name}-held")
+        top = scratch.table(components(held.select(F.col("la").alias("a"), F.col("lb").alias("b")), scratch, name), f"{name}-top").select(F.col("id").alias("label"), F.col("label").alias("to"))
+        every = labels.unionByName(held.select(F.col("a").alias("id"), F.col("la").alias("label"))).unionByName(held.select(F.col("b").alias("id"), F.col("lb").alias("label"))).distinct()
+        return scratch.table(every.join(top, "label", "left").select("id", F.coalesce("to", "label").alias("label")), f"{name}-labels")
 
     met = _meetings(members, labels, signatures, shape, scratch, "best")
     labels = joined(labels, scratch.table(verified(best_pairs(met, shape, threshold), fetch, sets, test, scratch, "best"), "best-links"), "second")
-    asks = open_labels(_meetings(members, labels, signatures, shape, scratch, "rest"), shape, threshold)
-    more = scratch.table(verified_against_labels(asks, labels, fetch, sets, test, scratch, "rest"), "rest-links")
+    met = _meetings(members, labels, signatures, shape, scratch, "rest")
+    open_ = scratch.table(open_items(met, shape, threshold), "open")
+    if open_.isEmpty():
+        return labels
+    items = scratch.table(fetch(scratch.table(open_.select("id"), "open-ids"), "open").join(open_, "id").select("id", "label", "asks", "text"), "open-items")
+    more = scratch.table(verified(prefix_pairs(items, sets, threshold), fetch, sets, test, scratch, "rest"), "rest-links")
     return joined(labels, more, "third")

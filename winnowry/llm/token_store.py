@@ -7,11 +7,13 @@ of every 64th set bit as a 32-bit integer, so that no table of 64-bit offsets is
 are Elias-Fano coded as well.
 
 Shards are written by Spark's own text writer (one row, one file), so task retries and output commits are Spark's
-and any file system that Spark knows will do.  The folder names hold a shard's place and its number of ids; where a
-shard begins in the whole sequence follows from these names, without reading any file.
+and any file system that Spark knows will do.  The folder names hold a shard's range, its first place in the range and
+its number of ids; where it begins in the whole sequence follows from these names and the sizes of the ranges (as
+many numbers as there are partitions), without reading any file.  There is one folder for each shard.
 
 Edge cases: a null text is empty and has only the end id; an empty table gives no shard and no row; rows that repeat
-a doc_id are all kept, next to one another; rows whose doc_id is null come first; further columns are ignored.
+a doc_id are all kept, next to one another, in the order of a hash of their texts; rows whose doc_id is null come
+first, in this order; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,8 +36,6 @@ HEADER = struct.Struct("<4sBBxxIIQqII")
 SAMPLE = 64
 #: A shard is closed when it holds so many ids.
 SHARD_IDS = 4_000_000
-#: The rows that say where shards start, at 32 bytes each, are broadcast up to this size.
-BROADCAST_BYTES = 32 << 20
 
 
 class EliasFano:
@@ -140,8 +140,8 @@ class Shard:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, glued: bool = True, shard_ids: int = SHARD_IDS) -> None:
     """Encode the whole texts of ``docs`` and write them as shards below ``path`` in ascending doc_id order.
 
-    One shuffle by ranges of doc_id puts the texts in order; no range holds more than its share of rows, as a doc_id
-    stands for one document.
+    One shuffle by ranges of doc_id and a hash of the text puts the texts in order; rows that repeat a doc_id, or have
+    none, are spread over ranges by their texts.
     """
 
     def shards(batches: Iterator) -> Iterator:
@@ -153,10 +153,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, glued:
         end = struct.pack("<I", end_id)
         names: list = []
         ids: list[bytes] = []
-        count, seq, part = 0, 0, TaskContext.get().partitionId()
+        first, count, part = 0, 0, TaskContext.get().partitionId()
 
         def row():
-            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "n_ids": pa.array([count], pa.int64()), "data": pa.array([pack_shard(names, ids, width)], pa.binary())})
+            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "first": pa.array([first], pa.int64()), "n_ids": pa.array([count], pa.int64()), "data": pa.array([pack_shard(names, ids, width)], pa.binary())})
 
         for batch in batches:
             found = enc.encode_all(batch.column("text").to_pylist())
@@ -166,31 +166,27 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, glued:
                 count += len(b) // 4 + 1
                 if count >= shard_ids:
                     yield row()
-                    names, ids, count, seq = [], [], 0, seq + 1
+                    names, ids, first, count = [], [], first + count, 0
         if ids:
             yield row()
 
-    rows = texts(docs).repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id")
-    made = rows.mapInArrow(shards, "part int, seq int, n_ids long, data binary")
-    made.select("part", "seq", "n_ids", F.col("data").cast("string").alias("value")).write.mode("overwrite").partitionBy("part", "seq", "n_ids").text(path)
+    order = ["doc_id", F.xxhash64("text"), "text"]
+    rows = texts(docs).repartitionByRange(partitions(docs.sparkSession), *order[:2]).sortWithinPartitions(*order)
+    made = rows.mapInArrow(shards, "part int, first long, n_ids long, data binary")
+    made.select("part", "first", "n_ids", F.col("data").cast("string").alias("value")).write.mode("overwrite").partitionBy("part", "first", "n_ids").text(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of the shards below ``path``: doc_id, start, n_tokens, ids_crc32, ids (an array of int).
+    """The shards below ``path``: content, and shard_start, the number of ids in all shards before.
 
-    ``start`` counts the ids of all documents before one; columns that are not selected cost nothing in the shuffle,
-    as there is none.
+    Contents stay where they are read: what they meet is one number for each range, which is broadcast.
     """
-    schema = "path string, modificationTime timestamp, length long, content binary, part int, seq int, n_ids long"
+    schema = "path string, modificationTime timestamp, length long, content binary, part int, first long, n_ids long"
     files = spark.read.format("binaryFile").schema(schema).load(path)
-    # One row per shard of some megabytes: few enough for one window.  The shards' contents stay where they are read
-    # as long as the rows of all shards are few enough to be sent everywhere.
-    before = F.sum("n_ids").over(Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1))
-    starts = files.select("part", "seq", "n_ids").withColumn("shard_start", F.coalesce(before, F.lit(0)))
-    starts = starts.select("part", "seq", "shard_start")
-    if starts.count() * 32 <= BROADCAST_BYTES:
-        starts = F.broadcast(starts)
-    return files.select("part", "seq", "content").join(starts, ["part", "seq"])
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = files.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(before, F.lit(0)).alias("range_start"))
+    found = files.select("part", "first", "content").join(F.broadcast(ranges), "part")
+    return found.select("content", (F.col("range_start") + F.col("first")).alias("shard_start"))
 
 
 def documents_of(shards: DataFrame) -> DataFrame:
@@ -202,7 +198,7 @@ def documents_of(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for data, start in zip(batch.column("content"), batch.column("shard_start").to_pylist(), strict=True):
                 shard = Shard(data.as_buffer().to_pybytes())
-                ends = shard.ends.to_array().astype(np.int64)
+                ends = np.fromiter(map(shard.ends.select, range(shard.ends.n)), np.int64, shard.ends.n)
                 starts = np.concatenate(([0], ends[:-1]))
                 crcs = [zlib.crc32(shard.ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(shard.doc_ids(), pa.int64()), "start": pa.array(starts + start), "n_tokens": pa.array(ends - starts), "ids_crc32": pa.array(crcs, pa.int64())})

@@ -1,23 +1,36 @@
 """Encoding of whole texts with a tokenizer file, made fast by remembering the ids of space-separated chunks.
 
 A byte-level BPE never merges across the words its pre-tokenizer finds, and no such word holds a space behind a
-character that is not white space.  So a text cut before those spaces has the ids of its chunks, joined.  Chunks
-that have not been seen yet are encoded by the tokenizers library, many at a time.  The memory for chunks is
-bounded: it is emptied when it is full.
+character that is not white space.  So a text cut before those spaces, and at
+single new lines, has the ids of its chunks, joined.  A chunk
+that has not been seen is encoded by the tokenizers library: one that is a run of Latin letters and perhaps a sign
+by the library's BPE model, word by word (words repeat under other signs, so they are remembered as well); any other
+by the whole tokenizer.  The model's way is taken only if it gives what the tokenizer gives for a list of probes.
+
+What is remembered is bounded in number and in the length of keys; when the memory is full, only what has been asked
+for since the last time stays.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
-#: Chunks remembered by a worker, at some 150 bytes each.
-REMEMBERED = 1_000_000
+#: Chunks, and words, of a generation that a worker remembers: at some 250 bytes each, and a kilobyte at most.
+CHUNKS, WORDS = 250_000, 150_000
 #: Characters split at a time, so that a very long text is never held as one list of chunks.
 SLICE = 1 << 20
 
+#: Letters that are their own composed form and have one small letter; a sign that stands as a word of its own.
+_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]?)").fullmatch
+#: White space besides the space and the new line; white space with one of these behind it.
+_RARE = tuple(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n")
+_SPACED = re.compile(r"\s[ \n]").search
+_PROBES = ("a", "Word", "OUwhea", "Élève", "straße", "don", "l", "s", "t", "ÿ", "Ðð", "thonentithst", "Extraordinarily", "çàéêüöäñ")
+
 
 def load(path: str):
     """The tokenizer in ``path``, single-threaded, without truncation and padding."""
@@ -36,27 +49,75 @@ def encoder(path: str, glued: bool) -> ChunkEncoder:
     return ChunkEncoder(load(path), glued)
 
 
+class Memo(dict):
+    """What ``make`` gives for a key.  Two generations of ``entries`` are remembered; keys over ``LONG`` are not."""
+
+    LONG = 48
+
+    def __init__(self, make: Callable[[str], bytes], entries: int):
+        self.make, self.entries, self.before = make, entries, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(key) > self.LONG:
+            return self.make(key)
+        found = self.before.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.entries:
+            self.before = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 class ChunkEncoder:
     """Ids of texts, as bytes of little-endian unsigned 32-bit integers.
 
     ``glued``: a space belongs to the word behind it (byte-level BPE without white-space removal); else white space
-    is dropped by the tokenizer and chunks stand alone.
+    is dropped by the tokenizer, letters are lowered, and chunks stand alone.
     """
 
-    def __init__(self, tokenizer, glued: bool, remembered: int = REMEMBERED):
-        self.tok, self.glued, self.limit = tokenizer, glued, remembered
-        self.ids: dict[str, bytes] = {}
-        self.unsafe: set[str] = set()
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def __init__(self, tokenizer, glued: bool, chunks: int = CHUNKS, words: int = WORDS):
+        self.tok, self.glued, self.model = tokenizer, glued, tokenizer.model
+        keep = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        rest = iter(range(256, 512))
+        self.alphabet = {b: b if b in keep else next(rest) for b in range(256)}  # of byte-level vocabularies
+        self.words = Memo(self._of_model, words)
+        self.chunks = Memo(self._chunk, chunks)
+        self.by_model = True
+        self.by_model = all(self._chunk(space + w + end) == self._raw(self._spelled(space + w + end)) for w in _PROBES for end in ("", ",", ".", "!") for space in (("", " ", "\n") if glued else ("",)))
+
+    def _raw(self, text: str) -> bytes:
+        return array("I", self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def _of_model(self, word: str) -> bytes:
+        """``word``: letters or a sign, perhaps behind a space or a new line."""
+        if self.glued or not word.isascii():
+            word = word.encode("utf-8").decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _spelled(self, key: str) -> str:
+        """The text of a key: if glued, one with a leading space starts the text, one with a new line goes on with it, any other follows a space."""
+        return key if not self.glued or key[:1] == "\n" else key[1:] if key[:1] == " " else " " + key
+
+    def _chunk(self, key: str) -> bytes:
+        head = key[:1] if self.glued and key[:1] in " \n" else ""
+        found = _WORD(key, len(head))
+        if not found or not self.by_model:
+            return self._raw(self._spelled(key))
+        word, sign = found.groups()
+        ids = self.words[word.lower() if not self.glued else word if head else " " + word]
+        if head == "\n":
+            ids = self.words[head] + ids
+        return ids + self.words[sign] if sign else ids
 
     def _slices(self, text: str) -> Iterator[list[str]]:
-        """Lists of keys.  A key with a leading space is the start of the text, any other follows a space."""
         at, first = 0, True
         while True:
             end = text.find(" ", at + SLICE) if len(text) - at > SLICE else -1
-            part = (text[at:end] if end >= 0 else text[at:] if at else text).split(" ")
+            part = text[at:end] if end >= 0 else text[at:] if at else text
+            # White space in front of a new line is ruled out, or else dropped by the tokenizer as the new line is
+            part = (part.replace("\n", " \n") if self.glued else part.replace("\n", " ")).split(" ")
             if first and self.glued:
                 part[0] = " " + part[0]
             yield part
@@ -64,49 +125,19 @@ class ChunkEncoder:
                 return
             at, first = end + 1, False
 
-    def learn(self, keys: Iterable[str]) -> None:
-        if len(self.ids) > self.limit:
-            self.ids.clear()
-            self.unsafe.clear()
-        new = [k for k in set(keys) if k not in self.ids]
-        if self.glued:
-            self.unsafe.update(k for k in new if not k or k[-1].isspace())
-            found = self._raw([k[1:] if k[:1] == " " else " " + k for k in new])
-        else:
-            found = self._raw(new)
-        self.ids.update(zip(new, found, strict=True))
+    @staticmethod
+    def _parted(text: str) -> bool:
+        """Whether every space and new line stands alone, behind what is not white space."""
+        if text[:1].isspace() or "  " in text or "\n " in text or " \n" in text or "\n\n" in text:
+            return False
+        return not any(c in text for c in _RARE) or _SPACED(text) is None
 
     def encode(self, text: str) -> bytes:
-        out, last = [], None
-        for keys in self._slices(text):
-            missing = set(keys).difference(self.ids)
-            if missing:
-                self.learn(keys if len(self.ids) > self.limit else missing)
-            if self.glued:
-                # A space behind white space or at the start is no place to cut: such a text is encoded as a whole.
-                if last in self.unsafe or (not self.unsafe.isdisjoint(keys) and any(k in self.unsafe for k in keys[:-1])):
-                    return self._raw([text])[0]
-                last = keys[-1]
-            out.append(b"".join(map(self.ids.__getitem__, keys)))
+        # A space or a new line behind white space or at the start is no place to cut: such a text is encoded as a whole.
+        if self.glued and not self._parted(text):
+            return self._raw(text)
+        out = [b"".join(map(self.chunks.__getitem__, keys)) for keys in self._slices(text)]
         return out[0] if len(out) == 1 else b"".join(out)
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """As encode, for many texts: unknown chunks go to the library together."""
-        at = 0
-        out: list[bytes] = []
-        while at < len(texts):
-            end, chars = at, 0
-            while end < len(texts) and (chars == 0 or chars + len(texts[end]) <= SLICE):
-                chars += len(texts[end])
-                end += 1
-            if end - at > 1:
-                missing: set[str] = set()
-                for t in texts[at:end]:
-                    for keys in self._slices(t):
-                        missing.update(keys)
-                missing = {k for k in missing if k not in self.ids}
-                if missing:
-                    self.learn(missing)
-            out += map(self.encode, texts[at:end])
-            at = end
-        return out
+    def encode_all(self, texts: Iterable[str]) -> list[bytes]:
+        return [self.encode(t) for t in texts]
