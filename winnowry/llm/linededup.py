@@ -9,8 +9,8 @@ each component the first line stays: the one with the least doc_id, then the lea
 are removed.
 
 Lines of one language share common shingles, so the chance that unlike lines share a band grows with their number; a
-band has more minima as the table has more rows (five up to some hundred rows, six at a quarter of a million), and
-there are as many bands as leave out one pair of similarity 0.8 in three million, and more similar ones far more
+band has more minima as the table has more rows (five up to ten thousand rows, then one more for ten times as many),
+and there are as many bands as leave out one pair of similarity 0.8 in three million, and more similar ones far more
 rarely.  A class is named by a number of its own, not by a hash; two lines are equal if 128 bits of hash are.
 
 Edge cases: a null text stays null and has no lines; blank lines, and those under ``min_chars``, stay; rows that repeat
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import links
-from .common import Scratch, among, lean
+from .common import Scratch, lean
 
 SHINGLE = 5
 #: Minima of which low bits are kept for the estimate.
@@ -152,28 +152,31 @@ def repeated_lines(rows: DataFrame, threshold: float, min_chars: int, shape: lin
         mh = links.MinHash(shape)
 
         def sketch(batch):
-            return batch.column("id").to_numpy(), minima_of(batch.column("text").to_pylist(), mh), {}
+            return minima_of(batch.column("text").to_pylist(), mh), {"place": batch.column("place")}
 
         return sketch
 
-    seen = scratch.table(_seen(rows, min_chars), "seen")
+    seen = scratch.table(_seen(rows, min_chars), "seen", compression="zstd")
     order = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r"), F.col("_line").alias("l"))
     # A class is named by the least place at which its text stands
-    classes = scratch.table(seen.groupBy("h1", "h2").agg(F.min("place").alias("id"), F.count("place").alias("places"), F.count("*").alias("times")), "classes")
-    written = seen.filter("text is not null").select(F.col("place").alias("id"), "text")
+    classes = scratch.table(seen.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.count("place").alias("places"), F.count("*").alias("times")), "classes")
+    several = _small(scratch.table(classes.filter("places > 1").select("h1", "h2", F.col("place").alias("least")), "several"))
+    again = _small(scratch.table(seen.filter("place is not null").select("h1", "h2", "place").join(several, ["h1", "h2"]).filter("place <> least").select("place"), "again"))
+    written = seen.filter("text is not null").select("place", "text")
     # a line shorter than a shingle is like its equals alone, and they are one class
-    made = links.band(written.filter(F.length("text") >= SHINGLE), sketcher, shape, {}, scratch)
-    several = _small(scratch.table(classes.filter("places > 1").select("h1", "h2", "id"), "several"))
-    again = seen.filter("place is not null").join(several, ["h1", "h2"]).filter("place <> id").select("place", "id")
-    again = _small(scratch.table(again, "again"))
-    signatures = made.filter(F.col("kind") == links.ITEM).join(again.select(F.col("place").alias("id")), "id", "left_anti")
-    named = lambda c: again.select(F.col("place").alias(c), F.col("id").alias(f"_{c}"))
-    members = made.filter(F.col("kind") == links.UNDER_KEY).select("key", "id", "pivot", "pair").join(named("id"), "id", "left").join(named("pivot"), "pivot", "left")
-    members = scratch.table(members.select("key", F.coalesce("_id", "id").alias("id"), F.coalesce("_pivot", "pivot").alias("pivot"), "pair"), "members")
+    made = links.band(written.filter(F.length("text") >= SHINGLE).join(again, "place", "left_anti"), sketcher, shape, {"place": "long"}, scratch)
+    signatures = made.filter(F.col("kind") == links.ITEM)
+    members = made.filter(F.col("kind") == links.UNDER_KEY)
     reached = lambda m, n, both: both >= threshold * (m + n - both) - 1e-9
-    labels = links.groups(members, signatures, shape, threshold, lambda ids, name: among(written, ids, "id"), lambda: shingle_hashes, reached, scratch)
-    # Classes that are linked, or stand more than once; a class without a link is its own group
-    groups = classes.join(_small(labels), "id", "left").filter("times > 1 or label is not null").select("h1", "h2", F.coalesce("label", "id").alias("g"))
+
+    def fetch(ids: DataFrame, name: str) -> DataFrame:
+        places = _small(scratch.table(signatures.select("id", "place").join(_small(ids), "id", "left_semi"), f"{name}-places"))
+        return written.join(places, "place").select("id", "text")
+
+    labels = links.groups(members, signatures, shape, threshold, fetch, lambda: shingle_hashes, reached, scratch)
+    labels = scratch.table(signatures.select("id", "place").join(_small(labels), "id").select("place", "label"), "placed-labels")
+    # Classes that are linked, or stand more than once; a class without a link is its own group, by a negative number
+    groups = classes.join(_small(labels), "place", "left").filter("times > 1 or label is not null").select("h1", "h2", F.coalesce("label", -1 - F.col("place")).alias("g"))
     groups = _small(scratch.table(groups, "groups"))
     placed = scratch.table(seen.select("_id", "_row", "_line", "h1", "h2").join(groups, ["h1", "h2"]).select("g", "_id", "_row", "_line"), "placed")
     stays = _small(scratch.table(placed.groupBy("g").agg(F.min(order).alias("stays")), "stays"))
@@ -190,7 +193,7 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, min_chars: int = 1, sha
     keyed = docs.withColumn("_id", F.col(id_col).cast("long")).withColumn("_row", F.xxhash64(id_col, text_col))
     rows = keyed.select("_id", "_row", F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     gone = scratch.table(repeated_lines(rows, threshold, min_chars, shape, scratch).groupBy("_id", "_row").agg(F.collect_set("_line").alias("_gone")), "gone")
-    scratch.drop("bands", "members", "seen")
+    scratch.drop("bands", "seen")
     joined = keyed.alias("d").join(gone.alias("g"), (F.col("d._row") == F.col("g._row")) & F.col("d._id").eqNullSafe(F.col("g._id")), "left")
     lines = F.split(F.col(f"d.`{text_col}`"), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("g._gone", i)), "\n")

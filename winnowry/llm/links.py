@@ -3,7 +3,7 @@
 Banding without pairs within a group.  The task that makes signatures sorts its items by band key and keeps, of all
 that share a key, one pivot; the others are linked to the pivot at once and travel by themselves.  So a key held by a
 third of all items sends one entry for each task, not one for each item.  Entries travel packed: one binary row for
-each receiving partition, with 32 bits of a key and the differences of ids.  Behind the shuffle, a key's pivots are
+each receiving partition, with the differences of sorted keys and 16-bit numbers of items.  Behind the shuffle, a key's pivots are
 linked to one of them.  Pivots are picked at random by key, so an item meets many partners; the likeliest few by
 signature are verified (all, where a key has two items), and what is linked gets one label by connected components.
 
@@ -40,6 +40,8 @@ PARTNERS = 4
 
 #: Band entries that a task gathers before it sends them on, and open entries.
 GATHERED = 1 << 21
+#: Bits for the number of an item among those of one sending; the others are its key's.
+NUMBER = 16
 #: Counters of how often set elements occur among open items; a counter over ``HOT`` splits its elements' items.
 COUNTERS, HOT = 1 << 20, 1 << 20
 #: Pairs looked at in one go.
@@ -58,7 +60,7 @@ class Shape:
     def for_rows(cls, n: int, threshold: float, most: int = 0, miss: float = 3e-7) -> Shape:
         """A shape for tables of about ``n`` rows: more minima a band as there are more chance partners, and as many
         bands as leave out one of 1 / ``miss`` pairs at the threshold."""
-        rows = max(5, 1 + math.ceil(math.log(max(n, 2)) / math.log(12.5)))
+        rows = max(5, 1 + math.ceil(math.log10(max(n, 2))))
         return cls(rows, math.ceil(math.log(miss) / math.log(1 - threshold**rows)), most)
 
     @property
@@ -157,84 +159,94 @@ def _starts(sorted_: np.ndarray) -> np.ndarray:
 
 #: What a row is: an item under a key, or an item's signature and what comes with it.
 UNDER_KEY, ITEM = 0, 1
-Sketcher = Callable[[object], tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]]
+Sketcher = Callable[[object], tuple[np.ndarray, dict[str, np.ndarray]]]
 
 
 def band(rows: DataFrame, sketcher: Callable[[], Sketcher], shape: Shape, extra: dict[str, str], scratch: Scratch, name: str = "bands") -> DataFrame:
     """Items under keys that more than one item has, and one row for each item; a written table.
 
-    ``sketcher()`` makes, in a task, a function from an Arrow batch to (ids, minima, extra columns) of its items.
-    Columns: kind, key, id, pivot, pair (whether the key has two items), s0.., and those of ``extra`` (name to type),
-    which only rows of items have.
+    ``sketcher()`` makes, in a task, a function from an Arrow batch to (minima, extra columns) of its items, which are
+    numbered here.  An item whose minima are all 0 has no keys.  Columns: kind, key, id, pivot, pair (whether the key
+    has two items), s0.., and those of ``extra`` (name to type), which only rows of items have.  Rows of a pair have
+    no key: they stand for themselves.
     """
     spark = rows.sparkSession
     parts = partitions(spark)
     sigs = [f"s{w}" for w in range(shape.words)]
     own = "id long, " + ", ".join(f"{s} long" for s in sigs) + "".join(f", {n} {t}" for n, t in extra.items())
     item = ["id", *sigs, *extra]
+    number, mask = np.uint64(NUMBER), np.uint64((1 << NUMBER) - 1)
+    whole = 1 << (64 - NUMBER)
+    bounds = [-(-whole * p // parts) for p in range(parts + 1)]  # a partition's keys
 
     def kinds(pa):
         return {"long": pa.int64(), "int": pa.int32()}
 
     def produce(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        from pyspark import TaskContext
 
         sketch, mh = sketcher(), MinHash(shape)
         types = [pa.int64()] * (1 + shape.words) + [kinds(pa)[t] for t in extra.values()]
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        count = 0
+        held: list[np.ndarray] = []
+        base = at = TaskContext.get().partitionId() << 32  # of what is held; of the next item
+        cuts = np.array(bounds, np.uint64)
 
         def packed() -> Iterator:
-            """Entries (32 bits of the key, id, whether others wait behind it) and stars (key, id, pivot), by partition."""
-            keys, owner = (np.concatenate(x) for x in zip(*held, strict=True))
-            part = (keys >> np.uint64(32)) % np.uint64(parts)
-            low = keys & np.uint64(0xFFFFFFFF)
-            whole = part << np.uint64(32) | low
-            order = np.argsort(whole, kind="stable")
-            whole, owner = whole[order], owner[order]
-            start = _starts(whole)
-            size = np.diff(np.append(start, len(whole)))
+            """Entries (key, number of the item, whether others wait behind it) and stars (key, id, pivot), by partition."""
+            both = np.concatenate(held)
+            both.sort()
+            keys, no = both >> number, (both & mask).astype(np.int64)
+            start = _starts(keys)
+            size = np.diff(np.append(start, len(keys)))
             # the pivot of a key: any of its items, by chance
-            at = start + (_mixed(whole[start]) % size.astype(np.uint64)).astype(np.int64)
-            pivot = owner[at]
-            waits = owner != np.repeat(pivot, size)
-            many = np.add.reduceat(waits, start) > 0
-            by_id = np.lexsort((pivot, whole[start] >> np.uint64(32)))
-            k, i, m = whole[start][by_id], pivot[by_id], many[by_id]
-            stars = np.stack([whole[waits].view(np.int64), owner[waits], np.repeat(pivot, size)[waits]])
-            to = (_mixed(whole[waits] ^ owner[waits].view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            chosen = start + (_mixed(keys[start]) % size.astype(np.uint64)).astype(np.int64)
+            waits = np.ones(len(keys), bool)
+            waits[chosen] = False
+            waits = np.flatnonzero(waits)
+            of = np.repeat(no[chosen], size)[waits]
+            k, i, m = keys[start], no[chosen].astype(np.uint16), size > 1
+            stars = np.stack([keys[waits].view(np.int64), base + no[waits], base + of])
+            to = (_mixed(keys[waits] ^ no[waits].view(np.uint64)) % np.uint64(parts)).astype(np.int64)
             turn = np.argsort(to, kind="stable")
             stars, to = stars[:, turn], to[turn]
-            bounds = np.searchsorted(k >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+            edges = np.searchsorted(k, cuts)
             ends = np.searchsorted(to, np.arange(parts + 1))
             for p in range(parts):
-                a, b, c, d = bounds[p], bounds[p + 1], ends[p], ends[p + 1]
+                a, b, c, d = edges[p], edges[p + 1], ends[p], ends[p + 1]
                 if a < b or c < d:
-                    yield p, (k[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), _planes(i[a:b]), np.packbits(m[a:b]).tobytes(), stars[:, c:d].tobytes()
+                    yield p, _planes(k[a:b]), i[a:b].tobytes(), np.packbits(m[a:b]).tobytes(), stars[:, c:d].tobytes()
 
         def blobs() -> Iterator:
             found = list(packed())
-            for at in range(0, len(found), 256):
-                p, k, i, m, s = zip(*found[at : at + 256], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), *[pa.array(x, pa.binary()) for x in (k, i, m, s)], *[pa.nulls(len(p), t) for t in types]], ["part", "keys", "ids", "many", "stars", *item])
+            for x in range(0, len(found), 256):
+                p, k, i, m, s = zip(*found[x : x + 256], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array([base] * len(p), pa.int64()), *[pa.array(y, pa.binary()) for y in (k, i, m, s)], *[pa.nulls(len(p), t) for t in types]], ["part", "base", "keys", "numbers", "many", "stars", *item])
 
         for batch in batches:
-            ids, minima, more = sketch(batch)
-            n = len(ids)
+            minima, more = sketch(batch)
+            n = len(minima)
             if not n:
                 continue
-            with_set = np.flatnonzero(minima.any(axis=1))
-            if len(with_set):
-                held.append((mh.keys(minima[with_set]).ravel(), np.repeat(ids[with_set], shape.bands)))
-                count += len(held[-1][0])
+            ids = at + np.arange(n)
+            at += n
             codes = mh.packed(minima).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array((_mixed(ids.view(np.uint64)) % np.uint64(parts)).astype(np.int32)), *[pa.nulls(n, pa.binary()) for _ in range(4)], pa.array(ids), *[pa.array(codes[:, w]) for w in range(shape.words)], *[pa.array(more[c], kinds(pa)[t]) for c, t in extra.items()]],
-                ["part", "keys", "ids", "many", "stars", *item],
+                [pa.array((_mixed(ids.view(np.uint64)) % np.uint64(parts)).astype(np.int32)), *[pa.nulls(n, t) for t in (pa.int64(), *[pa.binary()] * 4)], pa.array(ids), *[pa.array(codes[:, w]) for w in range(shape.words)], *[pa.array(more[c], kinds(pa)[t]) for c, t in extra.items()]],
+                ["part", "base", "keys", "numbers", "many", "stars", *item],
             )
-            if count >= GATHERED:
-                yield from blobs()
-                held, count = [], 0
+            with_set = np.flatnonzero(minima.any(axis=1))
+            step = max(1, min(1 << NUMBER, GATHERED // shape.bands))
+            for x in range(0, n, step):
+                some = with_set[(with_set >= x) & (with_set < x + step)]
+                if ids[min(x + step, n) - 1] - base >= step and held:
+                    yield from blobs()
+                    held, base = [], int(ids[x])
+                elif not held:
+                    base = int(ids[x])
+                if len(some):
+                    keys = mh.keys(minima[some])
+                    held.append(((keys >> number) << number | (ids[some] - base).astype(np.uint64)[:, None]).ravel())
         if held:
             yield from blobs()
 
@@ -244,21 +256,21 @@ def band(rows: DataFrame, sketcher: Callable[[], Sketcher], shape: Shape, extra:
 
         types = [pa.int64()] * shape.words + [kinds(pa)[t] for t in extra.values()]
         names = ["kind", "key", "id", "pivot", "pair", *item[1:]]
-        keys, ids, many = [], [], []
+        keys, ids, many, part = [], [], [], 0
 
         def under(key, i, pivot, pair):
-            return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(key), np.int32)), pa.array(key), pa.array(i), pa.array(pivot), pa.array(pair), *[pa.nulls(len(key), t) for t in types]], names)
+            return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(i), np.int32)), pa.array(key, mask=pair), pa.array(i), pa.array(pivot), pa.array(pair), *[pa.nulls(len(i), t) for t in types]], names)
 
         for batch in batches:
             blob = batch.filter(batch.column("keys").is_valid())
             rest = batch.filter(batch.column("keys").is_null())
             if n := rest.num_rows:
                 yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), rest.column("id"), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), *[rest.column(c) for c in item[1:]]], names)
-            for p, k, i, m, s in zip(*(blob.column(c).to_pylist() for c in ("part", "keys", "ids", "many", "stars")), strict=True):
-                k = np.frombuffer(k, np.uint32)
-                keys.append(np.uint64(p) << np.uint64(32) | k.astype(np.uint64))
-                ids.append(_unplaned(i))
-                many.append(np.unpackbits(np.frombuffer(m, np.uint8), count=len(k)).astype(bool))
+            for part, base, k, i, m, s in zip(*(blob.column(c).to_pylist() for c in ("part", "base", "keys", "numbers", "many", "stars")), strict=True):  # noqa: B007
+                if k:
+                    keys.append(_unplaned(k).view(np.uint64))
+                    ids.append(base + np.frombuffer(i, np.uint16).astype(np.int64))
+                    many.append(np.unpackbits(np.frombuffer(m, np.uint8), count=len(ids[-1])).astype(bool))
                 if s:
                     key, i, pivot = np.frombuffer(s, np.int64).reshape(3, -1)
                     yield under(key, i, pivot, np.zeros(len(key), bool))
@@ -266,22 +278,32 @@ def band(rows: DataFrame, sketcher: Callable[[], Sketcher], shape: Shape, extra:
             return
         k, i, m = map(np.concatenate, (keys, ids, many))
         del keys, ids, many
-        order = np.lexsort((_mixed(i.view(np.uint64) ^ k), k))
-        k, i, m = k[order], i[order], m[order]
-        start = _starts(k)
-        size = np.diff(np.append(start, len(k)))
-        pivot = np.repeat(i[start], size)
-        again = np.append(False, (k[1:] == k[:-1]) & (i[1:] == i[:-1]))
-        others = np.add.reduceat((i != pivot) & ~again, start)
-        waits = np.maximum.reduceat(m, start)
-        show = ~again & np.repeat((others > 0) | waits, size)
-        pair = np.repeat((others == 1) & ~waits, size)
-        for at in range(0, len(k), PAIRS):
-            some = np.flatnonzero(show[at : at + PAIRS]) + at
-            if len(some):
-                yield under(k[some].view(np.int64), i[some], pivot[some], pair[some])
-
-    sent = rows.mapInArrow(lean(produce), f"part int, keys binary, ids binary, many binary, stars binary, {own}")
+        # One sort of numbers that hold a key, as far as its bits go, and a place
+        bits = max(1, (len(k) - 1).bit_length())
+        over = max(0, (bounds[part + 1] - bounds[part]).bit_length() + bits - 64)
+        both = ((k - np.uint64(bounds[part])) >> np.uint64(over)) << np.uint64(bits) | np.arange(len(k), dtype=np.uint64)
+        both.sort()
+        order = (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+        start = _starts(both >> np.uint64(bits))
+        del both
+        size = np.diff(np.append(start, len(order)))
+        waits = np.logical_or.reduceat(m[order], start)
+        shown = (size > 1) | waits
+        pair = (size == 2) & ~waits
+        first = order[start]
+        key, by = k[first], np.minimum((_mixed(k[first]) % size.astype(np.uint64)).astype(np.int64), size - 1)
+        pivot = i[order[start + by]]
+        for x in range(0, len(start), PAIRS):
+            runs = np.flatnonzero(shown[x : x + PAIRS]) + x
+            if not len(runs):
+                continue
+            n = size[runs]
+            at = np.repeat(start[runs] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            who, of, two = i[order[at]], np.repeat(pivot[runs], n), np.repeat(pair[runs], n)
+            keep = ~two | (who != of)
+            yield under(np.repeat(key[runs], n)[keep].view(np.int64), who[keep], of[keep], two[keep])
+
+    sent = rows.mapInArrow(lean(produce), f"part int, base long, keys binary, numbers binary, many binary, stars binary, {own}")
     out = "kind int, key long, id long, pivot long, pair boolean, " + own.removeprefix("id long, ")
     return scratch.table(sent.repartitionById(parts, "part").mapInArrow(lean(reduce), out), name)
 

@@ -80,14 +80,11 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80, shape: l
 
     def sketcher():
         import xxhash
-        from pyspark import TaskContext
 
         sets, mh = Shingles(words), links.MinHash(shape)
         no = np.zeros(shape.minima, np.uint32)
-        place = TaskContext.get().partitionId() << 32
 
         def sketch(batch):
-            nonlocal place
             minima, counts, digests = [], [], []
             for text in batch.column("text").to_pylist():
                 s = sets.of(text)
@@ -96,15 +93,13 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80, shape: l
                 m = mh.minima(s) if len(s) else no
                 minima.append(m if m.any() or not len(s) else m + np.uint32(1))
                 counts.append(len(s))
-            ids = place + np.arange(len(counts), dtype=np.int64)
-            place += len(counts)
             both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             more = {"doc_id": batch.column("doc_id"), "of": batch.column("of"), "n": np.array(counts, np.int64), "h1": both[:, 0].copy(), "h2": both[:, 1].copy()}
-            return ids, np.array(minima, np.uint32).reshape(len(ids), shape.minima), more
+            return np.array(minima, np.uint32).reshape(len(counts), shape.minima), more
 
         return sketch
 
-    # Items are rows, by numbers of their own
+    # Items are rows
     known = rows.filter("doc_id is not null").withColumn("of", F.xxhash64("text"))
     made = links.band(known, sketcher, shape, {"doc_id": "long", "of": "long", "n": "long", "h1": "long", "h2": "long"}, scratch)
     items = made.filter(F.col("kind") == links.ITEM)
@@ -117,7 +112,7 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80, shape: l
     under = made.filter(F.col("kind") == links.UNDER_KEY)
     members = under.join(to_rep, "id").select("key", F.col("rep").alias("id"), "pivot", "pair")
     members = members.join(to_rep.select(F.col("id").alias("pivot"), F.col("rep").alias("p")), "pivot").select("key", "id", F.col("p").alias("pivot"), "pair").distinct()
-    members = scratch.table(members, "members")
+    members = scratch.table(members.filter("id <> pivot or key is not null"), "members")
     texts_of = classes.select(F.col("rep").alias("id"), "one.doc_id", "one.of")
 
     def fetch(ids: DataFrame, name: str) -> DataFrame:
