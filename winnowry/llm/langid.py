@@ -5,10 +5,13 @@ For each row, the posterior of a language multiplies
   long text counts as ``EFFECTIVE`` trigrams at most and other evidence keeps a say;
 * the likelihood of the language that its markup declares, and of its address suffix, each from a table of how often
   they go with a language;
-* a prior of its host, smoothed hierarchically: the host's counts toward its parent domain's, these toward the whole.
+* a prior of its host, smoothed hierarchically: the host's counts toward those of its registered domain (the host
+  without the labels in front), these toward the whole; a host that is its own domain, or has no dot, has no middle
+  level.  The address suffix is evidence of its own.
 
 All tables come from grouped aggregation over all rows: trigram counts from rows with a declared language, the others
 from the posteriors that text and declaration alone give.  A row's own share is taken out of its host's counts.
+Posteriors are summed as multiples of 2^-20, which add up exactly: no result depends on the order of rows.
 
 The languages are those that rows declare, and ``UNKNOWN``: a class whose trigrams are all as likely, so that a text
 whose trigrams no declared language has is its.
@@ -44,6 +47,8 @@ BUCKETS = 1 << 12
 EFFECTIVE = 60.0
 #: Weight of the level above in the prior of a host, in rows.
 SMOOTH = 5.0
+#: Posteriors are rounded to one in so many.
+SHARES = float(1 << 20)
 #: The largest table of hosts, codes or suffixes that is broadcast, in bytes.
 BROADCAST_BYTES = 16 << 20
 
@@ -77,14 +82,20 @@ def trigrams(text: str) -> np.ndarray:
 def evidence_of_documents(docs: DataFrame) -> DataFrame:
     """Documents as rows of evidence: the declared language is ``lang``, the host is ``source``."""
     none = F.lit(None)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), none.cast("long").alias("page_id"), F.coalesce("text", F.lit("")).alias("text"), F.lit(False).alias("markup"), _code(F.col("lang")).alias("declared"), none.cast("string").alias("suffix"), F.col("source").alias("host"), F.col("source").alias("parent"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), none.cast("long").alias("page_id"), F.coalesce("text", F.lit("")).alias("text"), F.lit(False).alias("markup"), _code(F.col("lang")).alias("declared"), none.cast("string").alias("suffix"), F.col("source").alias("host"), _domain(F.col("source")).alias("parent"))
 
 
 def evidence_of_pages(pages: DataFrame) -> DataFrame:
     """Pages as rows of evidence: the markup's lang attribute, the address's suffix and host, the host's parent."""
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1))
     rows = pages.select(F.lit(None).cast("long").alias("doc_id"), F.col("page_id").cast("long").alias("page_id"), F.coalesce("html", F.lit("")).alias("text"), F.lit(True).alias("markup"), _code(F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", 1)).alias("declared"), F.nullif(host, F.lit("")).alias("host"))
-    return rows.select("doc_id", "page_id", "text", "markup", "declared", F.regexp_extract("host", r"\.([a-z0-9-]+)$", 1).alias("suffix"), "host", F.regexp_replace("host", r"^(www|m|blog|news|shop)\.", "").alias("parent"))
+    return rows.select("doc_id", "page_id", "text", "markup", "declared", F.regexp_extract("host", r"\.([a-z0-9-]+)$", 1).alias("suffix"), "host", _domain(F.col("host")).alias("parent"))
+
+
+def _domain(host: Column) -> Column:
+    """The last two labels of a host (three where a label of two or three letters stands before a country), null if it has no more."""
+    found = F.regexp_extract(host, r"\.([^.]+\.(?:[a-z]{2,3}\.[a-z]{2}|(?![a-z]{2,3}\.[a-z]{2}$)[^.]+))$", 1)
+    return F.nullif(found, F.lit(""))
 
 
 def _code(c: Column) -> Column:
@@ -187,8 +198,8 @@ def identify(rows: DataFrame, languages: tuple[str, ...] | None = None, least: f
     whole = hosts.agg(*[F.sum(f"h{i}") for i in n]).first()
     whole = [float(x or 0) + 1 for x in whole]
     whole = [x / sum(whole) for x in whole]
-    parents = hosts.groupBy("parent").agg(*[F.sum(f"h{i}").alias(f"q{i}") for i in n])
-    known = hosts.join(parents, hosts["parent"].eqNullSafe(parents["parent"])).drop("parent")
+    parents = hosts.filter("parent is not null").groupBy("parent").agg(*[F.sum(f"h{i}").alias(f"q{i}") for i in n])
+    known = hosts.join(parents, "parent", "left")
     known = _small(scratch.table(known.select("host", *h, *q), "priors"), 2 * len(languages))
     joined = first.join(by_suffix, "suffix", "left").join(known, "host", "left").select("doc_id", "page_id", "letters", *d, *x, *t, *p, *h, *q)
     share = np.array(whole)
@@ -224,7 +235,7 @@ def with_posterior(scored: DataFrame, t: list[str], p: list[str], d: list[str] |
             scores = _matrix(batch, t)
             if d is not None:
                 scores = scores + _matrix(batch, d)
-            post = _softmax(scores) if batch.num_rows else scores
+            post = np.round(_softmax(scores) * SHARES) / SHARES if batch.num_rows else scores
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(post[:, i]) for i in range(len(p))]], [*names, *p])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in scored.schema.fields)
