@@ -7,6 +7,7 @@ import re
 import struct
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import oracle
@@ -312,18 +313,37 @@ def test_top_k(spark):
     vectors = [(int(i), [float(x) for x in rng.normal(size=6)], 0) for i in range(300)]
     vectors += [(1000 + i, vectors[0][1], 0) for i in range(12)]  # ties
     vectors += [(50, None, 0), (3000, [1.0, None, 1.0, 1.0, 1.0, 1.0], 0), (3001, [float("nan")] * 6, 0), (3050, [float("inf")] * 6, 0), (None, [9.0] * 6, 0), (3100, [], 0)]
-    vectors = [v for v in vectors if v != vectors[50] or v[1] is None]
+    vectors += [(100, [3.0] * 6, 0), (100, [3.0] * 6, 0), (7, [2.0, 1.0, 0.0, 0.0, 0.0, 0.0], 0)]  # repeated ids, equal rows
     rows = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, score int")
-    good = {v[0]: np.floor(np.array(v[1]) * 256).astype(int) for v in vectors if v[0] is not None and v[1] and all(x is not None and np.isfinite(x) for x in v[1])}
-    want = set()
-    for q in (q for q in good if q % 50 == 0):
-        order = sorted(((-int(good[c] @ good[q]), c) for c in good if c != q))[:5]
-        want |= {(q, k, c, -s) for k, (s, c) in enumerate(order, 1)}
-    got = kdsearch.top_inner_products(rows.repartition(3), shard_rows=64)
-    assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == want
+    assert top_k(rows, 64) == brute_top_k(vectors)
     assert kdsearch.top_inner_products(rows.limit(0)).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    rng = np.random.default_rng(3)
+    vectors = [(i, [float(x) for x in rng.normal(size=3) * 10.0 ** rng.integers(0, 7)], 0) for i in range(120)]
+    vectors += [(150, [1e20, 1.0, -3.5], 0), (200, [1e300, 1e300, 0.25], 0), (201, [-1e20, 2.0**60, 2.0**53 + 2], 0)]
+    rows = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, score int")
+    assert top_k(rows, 40) == brute_top_k(vectors)
+
+
+def top_k(rows, shard_rows):
+    found = kdsearch.top_inner_products(rows.repartition(3), shard_rows=shard_rows).select("query_id", "rank", "vec_id", "score")
+    return sorted(map(tuple, found.collect()))
+
+
+def brute_top_k(vectors):
+    """By all pairs, in whole numbers; a query is a row."""
+    good = [(v[0], [int(Fraction(x) * 256 // 1) for x in v[1]]) for v in vectors if v[0] is not None and v[1] and all(x is not None and np.isfinite(x) for x in v[1])]
+    want = []
+    for r, (q, a) in enumerate(good):
+        if q % 50 == 0:
+            score = lambda b, a=a: max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(a, b, strict=True))))
+            order = sorted((-score(b), c) for s, (c, b) in enumerate(good) if s != r)[:5]
+            want += [(q, k, c, -s) for k, (s, c) in enumerate(order, 1)]
+    return sorted(want)
+
+
 # ---- 9
 
 
@@ -376,3 +396,109 @@ def test_secret_scan_runs_no_python(spark, sf_dir):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_matches_sql(spark, sf_dir, name):
     assert oracle.spark_rows(queries.QUERIES[name](spark, sf_dir)) == oracle.duck(sf_dir, queries.SQL[name])
+
+
+# ---- language fusion against a second account of it
+
+
+def fused_by_hand(rows, least=0.5):
+    """(lang, rejected, confidence) of rows (text, declared, suffix, host, parent), by dictionaries and whole tables in memory."""
+    known = sorted({r[1] for r in rows if r[1]})
+    langs = [*known, langid.UNKNOWN]
+    table = np.full((len(langs), langid.BUCKETS), 0.5)
+    for text, declared, *_ in rows:
+        if declared:
+            for t in langid.trigrams(text):
+                table[langs.index(declared), t] += 1
+    model = np.log(table / table.sum(axis=1, keepdims=True))
+    soft = lambda s: np.exp(s - s.max()) / np.exp(s - s.max()).sum()
+    grid = lambda p: np.round(p * langid.SHARES) / langid.SHARES
+    texts, letters = [], []
+    for text, *_ in rows:
+        t = langid.trigrams(text)
+        s = sum((model[:, x] for x in t), np.zeros(len(langs))) * (min(1, langid.EFFECTIVE / len(t)) if len(t) else 1)
+        texts.append(s - s.max())
+        letters.append(any(map(str.isalpha, text)))
+
+    def evidence(place):
+        counts = {}
+        for r, s, ok in zip(rows, texts, letters, strict=True):
+            if ok and r[place]:
+                counts[r[place]] = counts.get(r[place], 0) + grid(soft(s))
+        sums = sum(counts.values(), np.zeros(len(langs)))
+        every = {v: c.sum() / max(1, sums.sum()) for v, c in counts.items()}
+        return {v: np.log((c + 10 * every[v] + 1e-6) / (sums + 10 + 1e-6 * len(counts))) - np.log(every[v] + 1e-6) for v, c in counts.items()}
+
+    none = np.zeros(len(langs))
+    declared, suffix = evidence(1), evidence(2)
+    first = [grid(soft(s + declared.get(r[1], none))) for r, s in zip(rows, texts, strict=True)]
+    hosts, parents = {}, {}
+    for r, p in zip(rows, first, strict=True):
+        if r[3] is not None:
+            hosts[r[3]] = hosts.get(r[3], 0) + p
+            if r[4] is not None:
+                parents[r[4]] = parents.get(r[4], 0) + p
+    share = sum(hosts.values(), np.zeros(len(langs))) + 1
+    share = share / share.sum()
+    out = []
+    for r, s, p, ok in zip(rows, texts, first, letters, strict=True):
+        of_parent, of_host = (np.maximum(c - p, 0) for c in (parents.get(r[4], none), hosts.get(r[3], none)))
+        middle = (of_parent + langid.SMOOTH * share) / (of_parent.sum() + langid.SMOOTH)
+        prior = (of_host + langid.SMOOTH * middle) / (of_host.sum() + langid.SMOOTH)
+        post = soft(s + declared.get(r[1], none) + suffix.get(r[2], none) + np.log(prior))
+        best = int(post.argmax())
+        out.append((langs[best], not ok or best == len(langs) - 1 or post[best] < least, float(post[best])))
+    return out
+
+
+def test_fusion_by_hand(spark):
+    say = {"en": "the river and the boat are on the way to the sea with a man", "de": "der Hund und die Katze sind auf dem Weg nach Hause mit dem Kind", "nl": "de hond en de kat zijn op weg naar huis met het kind van de man"}
+    rng, rows = random.Random(2), []
+    for i in range(90):
+        x = list(say)[i % 3]
+        words = say[x].split() if i % 4 else ["in", "die", "was"]  # some texts alone tell little
+        host = {"en": "www.shop.example.co.uk", "de": "a.beispiel.de", "nl": "b.voorbeeld.nl"}[x] if i % 5 else f"h{i}.beispiel.de"
+        parent = {"www.shop.example.co.uk": "example.co.uk", "b.voorbeeld.nl": "voorbeeld.nl"}.get(host, "beispiel.de")
+        rows.append((" ".join(rng.choices(words, k=12)) + f" {i}", x if i % 3 == 0 or i % 7 == 0 else None, host.rsplit(".", 1)[1], host, parent))
+    rows += [("", None, "", None, None), ("in die was", None, "com", "solo.com", None), ("123 !!", "en", "", None, None)] * 2
+    page = lambda r: f'<html{f" lang={chr(34)}{r[1]}{chr(34)}" if r[1] else ""}><body>{r[0]}</body></html>'
+    pages = spark.createDataFrame([(i, f"https://{r[3]}/x" if r[3] else None, page(r)) for i, r in enumerate(rows)], "page_id long, url string, html string").repartition(3)
+    seen = {r["page_id"]: r for r in langid.evidence_of_pages(pages).collect()}
+    assert all((seen[i]["declared"], seen[i]["suffix"] or "", seen[i]["host"], seen[i]["parent"]) == r[1:] for i, r in enumerate(rows))
+    got = {r["page_id"]: r for r in langid.identify(langid.evidence_of_pages(pages)).collect()}
+    want = fused_by_hand(rows)
+    assert [(got[i]["lang"], got[i]["rejected"]) for i in range(len(rows))] == [w[:2] for w in want]
+    assert all(abs(got[i]["confidence"] - w[2]) < 1e-6 for i, w in enumerate(want))
+    flat = fused_by_hand([(*r[:3], None, None) for r in rows])
+    assert [w[0] for w in want] != [w[0] for w in flat]  # hosts decide some
+
+
+# ---- fingerprints against a second account of them
+
+
+def spots_by_hand(text):
+    """Signatures as tuples of words: an anchor and the next content words, or else runs of words, or the text."""
+    words = [w for w in ("".join(c for c in x.lower() if c.isalnum()) for x in text.split()) if w]
+    if not words:
+        return {text} if text else set()
+    chains = set()
+    for i, w in enumerate(words):
+        content = [x for x in words[i + 1 :] if x not in spotsigs.ANCHORS][: spotsigs.CHAIN]
+        if w in spotsigs.ANCHORS and len(content) == spotsigs.CHAIN:
+            chains.add((w, *content))
+    n = spotsigs.CHAIN + 1
+    return chains or {tuple(words[k : k + n]) for k in range(max(1, len(words) - n + 1))}
+
+
+def test_fingerprints_by_hand(spark):
+    texts = [*ODD, "no anchors here whatsoever today", "two words", "the", "the cat sat on the mat and the dog ran to a house", *copies(6, 10), "The cat, sat on THE mat and the dog ran to a house!"]
+    got = {r["doc_id"]: r for r in spotsigs.fingerprints(frame(spark, texts)).collect()}
+    n = len(texts)
+    sets = {d: spots_by_hand(texts[d] or "") for d in got}
+    like = lambda a, b: 1.0 if not a and not b else len(a & b) / len(a | b)
+    for d, r in got.items():
+        t, after = texts[d] or "", (d - 1) % n
+        e = spots_by_hand(spotsigs.edited(t, texts[after] or ""))
+        assert len(r["fingerprint"]) == 16 * len(sets[d]) and len(r["edited_fingerprint"]) == 16 * len(e)
+        assert abs(r["near_edited"] - like(sets[d], e)) < 1e-12 and abs(r["near_next"] - like(sets[d], sets[after])) < 1e-12
+    assert all((got[a]["fingerprint"] == got[b]["fingerprint"]) == (sets[a] == sets[b]) for a, b in itertools.combinations(got, 2))
