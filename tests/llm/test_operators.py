@@ -142,6 +142,27 @@ def test_quality_on_held_out_rows(spark):
     assert quality.classify(docs.limit(0), labels).count() == 0
 
 
+def test_quality_exchange_over_all_rows(spark):
+    """Each view learns from the other: the words of unlabelled rows are known through their sources alone, and the sums are those of plain arrays."""
+    rng = random.Random(3)
+    words = lambda good, old: " ".join(rng.choices(("stone river house" if good else "prize offer click").split() if old else ("meadow harbour lantern" if good else "jackpot casino bonus").split(), k=40))
+    rows = [(i, words(i % 2, i < 80), "en", f"s{i % 2}", 200, "c", 7, 3) for i in range(600)]
+    rows += [(1000 + i, words(i % 2, False), "en", f"t{i}", 200, "c", 7, 3) for i in range(60)] + [(3, words(1, True), "en", "s1", 200, "c", 7, 3)] * 5
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    right = lambda rounds: sum((r["text_score"] >= 0.5) == bool(r["doc_id"] % 2) for r in quality.classify(docs, labels, rounds=rounds).filter("doc_id >= 1000").collect())
+    assert right(3) > 57 and right(0) < 50
+    view = quality.TextView()
+    t, m = quality._matrices([view.of(r[1]).astype(np.float16).tobytes() for r in rows], [quality.meta_of(r[3], r[2], r[4]).astype(np.float16).tobytes() for r in rows])
+    w = [np.random.default_rng(1).normal(size=x.shape[1]) for x in (t, m)]
+    found = spark.createDataFrame([(x.astype(np.float16).tobytes(), y.astype(np.float16).tobytes()) for x, y in zip(t, m, strict=True)], "t binary, m binary").repartition(3)
+    got = quality._exchange(found)(w, 0.4, 0.5)
+    y = [quality.confident(x @ v, *(float(np.sort(x @ v)[max(0, int(np.ceil(q * len(x))) - 1)]) for q in (0.2, 0.8))) for x, v in zip((t, m), w, strict=True)]
+    for i, x in enumerate((t, m)):
+        want = quality.hints_of(quality.sums(x, y[1 - i], w[i]), w[i])
+        assert got[i].n == want.n > 0 and np.allclose(got[i].gradient, want.gradient, atol=1e-3) and np.allclose(got[i].curvature, want.curvature, atol=1e-3)
+
+
 # ---- 4
 
 
