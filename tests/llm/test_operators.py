@@ -398,6 +398,10 @@ def test_secrets(spark):
     out = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
     assert out[len(ODD)] == "[SECRET]' and token:short" and out[1] is None
     assert secrets.scan(docs.limit(0)).count() == 0
+    clash = docs.withColumn("spans", F.lit(1)).withColumn("kinds", F.lit("k")).withColumn("n_lines", F.lit(2)).withColumn("_spans_", F.lit(3))
+    again = secrets.redact(clash)
+    assert again.columns == clash.columns and {r["doc_id"]: (r["text"], r["spans"], r["kinds"]) for r in again.collect()} == {d: (t, 1, "k") for d, t in out.items()}
+    assert sorted(map(str, (r["spans"] for r in secrets.scan(clash).collect()))) == sorted(map(str, (r["spans"] for r in secrets.scan(docs).collect())))
 
 
 def test_trigram_queries_admit_every_match():

@@ -232,10 +232,13 @@ def _spans(rule: Rule, order: int, text: str = "text") -> Column:
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with ``spans``: structs start, rank (of the rule), end, kind, sorted.
 
-    Texts are shuffled once, to meet the candidate lists; a doc_id stands for one document, so no key is hot.
+    Texts are shuffled once, to meet the candidate lists; a doc_id stands for one document, so no key is hot.  A column
+    of ``docs`` that is named ``spans`` is replaced.
     """
-    if {"spans", "kinds"} & set(docs.columns):
-        raise ValueError("columns spans and kinds are made here")
+    return _scanned(docs.drop("spans"), rules, id_col, text_col, "spans")
+
+
+def _scanned(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str, spans: str) -> DataFrame:
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if q != ALWAYS}
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
@@ -243,18 +246,18 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     if indexed:
         names = sorted({t for q in indexed.values() for c in q for t in c})
         own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null and text is not null")
-        listed = candidates(index(own, names), indexed).select(F.col("doc_id").alias("_listed"), "kinds")
+        listed = candidates(index(own, names), indexed).select(F.col("doc_id").alias("_listed"), F.col("kinds").alias("_kinds"))
         rows = docs.join(listed, docs[id_col] == listed["_listed"], "left").drop("_listed")
     else:
-        rows = docs.withColumn("kinds", F.array().cast("array<string>"))
+        rows = docs.withColumn("_kinds", F.array().cast("array<string>"))
     found = []
     for i, r in enumerate(rules):
         if r.kind in indexed:
-            may = F.col(id_col).isNull() | F.coalesce(F.array_contains("kinds", r.kind), F.lit(False))
+            may = F.col(id_col).isNull() | F.coalesce(F.array_contains("_kinds", r.kind), F.lit(False))
         else:
             may = F.col(text_col).rlike(r.pattern)
         found.append(F.when(may & F.col(text_col).isNotNull(), _spans(r, i, text_col)).otherwise(none))
-    return rows.withColumn("spans", F.array_sort(F.concat(*found))).drop("kinds")
+    return rows.withColumn(spans, F.array_sort(F.concat(*found))).drop("_kinds")
 
 
 def _written(spans: Column) -> Column:
@@ -272,7 +275,7 @@ def digest(scanned: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with every span of a secret replaced by ``mark``; overlapping spans get one mark."""
-    found = scan(docs, rules, id_col, text_col)
+    found = _scanned(docs, rules, id_col, text_col, "_spans")
     text = F.col(text_col)
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -281,8 +284,8 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
         gap = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, gap).otherwise(acc["out"]).alias("out"))
 
-    end = F.aggregate("spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return found.withColumn(text_col, F.when(F.size("spans") > 0, end).otherwise(text)).drop("spans")
+    end = F.aggregate("_spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return found.withColumn(text_col, F.when(F.size("_spans") > 0, end).otherwise(text)).drop("_spans")
 
 
 def oracle_sql(documents: str = "documents", rules: tuple[Rule, ...] = RULES) -> str:
