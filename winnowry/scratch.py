@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import gc
+import re
 import tempfile
 import uuid
 
@@ -14,12 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir.
 
-    Where it is unset (tests, local mode) the session's checkpoint folder, or else a new temporary one, is used.
+    Where it is unset the session's checkpoint folder is used; where there is none either, a new temporary one in
+    local mode, where all share the machine.  On a cluster a folder must be set.
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="winnowry-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir() or found
