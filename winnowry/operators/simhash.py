@@ -5,10 +5,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..scratch import Scratch
 from .graph import components
+from .sampling import with_ordinal
 
 BANDS, BITS = 4, 16
 
@@ -70,7 +70,10 @@ def pairs(docs: DataFrame, threshold: int = 3) -> DataFrame:
 
 
 def with_jaccard(found: DataFrame, docs: DataFrame, n: int = 4) -> DataFrame:
-    """Adds the similarity of the pairs' sets, their splits and whether these differ; texts are joined to pairs alone."""
+    """Adds the similarity of the pairs' sets, their splits and whether these differ; only texts of pairs are cut into runs."""
+    found = Scratch(docs.sparkSession, "near").table(found, "found")
+    ids = found.select(F.col("id_a").alias("id")).union(found.select("id_b")).distinct()
+    docs = docs.join(ids, "id", "left_semi")
     side = lambda x: docs.select(F.col("id").alias(f"id_{x}"), F.col("split").alias(f"split_{x}"), shingles(F.col("text"), n).alias(f"s_{x}"))
     both = found.join(side("a"), "id_a").join(side("b"), "id_b")
     union = F.size(F.array_union("s_a", "s_b"))
@@ -88,8 +91,8 @@ def clusters(found: DataFrame) -> DataFrame:
     label = components(found.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), scratch)
     label = scratch.table(label, "labels")
     first = found.join(label, found["id_a"] == label["id"]).groupBy("label").agg(F.min(F.struct("distance", (-F.col("jaccard")).alias("j"), "id_a", "id_b")).alias("rank"))
-    # one row for each cluster
-    numbered = first.select("label", F.row_number().over(Window.orderBy("rank")).alias("cluster"))
+    # numbered by ranges of the rank, in many tasks
+    numbered = with_ordinal(scratch.table(first, "first"), "rank").select("label", F.col("i").cast("int").alias("cluster"))
     sizes = label.groupBy("label").agg(F.count("*").alias("size"))
     return label.join(numbered.join(sizes, "label"), "label").select("cluster", "id", "size")
 
