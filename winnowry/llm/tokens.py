@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 #: Chunks, and words, of a generation that a worker remembers: at some 250 bytes each, and a kilobyte at most.
-CHUNKS, WORDS = 250_000, 150_000
+CHUNKS, WORDS = 400_000, 250_000
 #: Characters split at a time, so that a very long text is never held as one list of chunks.
 SLICE = 1 << 20
 
