@@ -1,11 +1,11 @@
 """Encoding of whole texts with a tokenizer file, made fast by remembering the ids of space-separated chunks.
 
 A byte-level BPE never merges across the words its pre-tokenizer finds, and no such word holds a space behind a
-character that is not white space.  So a text cut before those spaces, and at
-single new lines, has the ids of its chunks, joined.  A chunk
-that has not been seen is encoded by the tokenizers library: one that is a run of Latin letters and perhaps a sign
-by the library's BPE model, word by word (words repeat under other signs, so they are remembered as well); any other
-by the whole tokenizer.  The model's way is taken only if it gives what the tokenizer gives for a list of probes.
+character that is not white space.  So a text cut before those spaces, around single new lines, and between a letter
+and a sign that ends a chunk, has the ids of its chunks, joined.  A chunk that has not been seen is encoded by the
+tokenizers library: one that is a run of Latin letters by the library's BPE model, any other by the whole tokenizer.
+The model's way, and the cut in front of signs, are taken only if they give what the tokenizer gives for a list of
+probes.
 
 What is remembered is bounded in number and in the length of keys; when the memory is full, only what has been asked
 for since the last time stays.
@@ -19,13 +19,17 @@ from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
-#: Chunks, and words, of a generation that a worker remembers: at some 250 bytes each, and a kilobyte at most.
-CHUNKS, WORDS = 400_000, 250_000
+#: Chunks of a generation that a worker remembers: at some 250 bytes each, and a kilobyte at most.
+CHUNKS = 300_000
 #: Characters split at a time, so that a very long text is never held as one list of chunks.
 SLICE = 1 << 20
 
-#: Letters that are their own composed form and have one small letter; a sign that stands as a word of its own.
-_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]?)").fullmatch
+#: Letters that are their own composed form and have one small letter; a sign behind one that ends a chunk, which is a word of its own.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_WORD = re.compile(f"[{_LETTER}]+").fullmatch
+_SIGN = re.compile(rf"([,.;:!?])(?<=[{_LETTER}][,.;:!?])(?=[ \n]|\Z)").sub
+#: In a key: no space in front.
+_BARE = "\x01"
 #: White space besides the space and the new line; white space with one of these behind it.
 _RARE = tuple(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n")
 _SPACED = re.compile(r"\s[ \n]").search
@@ -77,58 +81,57 @@ class ChunkEncoder:
     is dropped by the tokenizer, letters are lowered, and chunks stand alone.
     """
 
-    def __init__(self, tokenizer, glued: bool, chunks: int = CHUNKS, words: int = WORDS):
+    def __init__(self, tokenizer, glued: bool, chunks: int = CHUNKS):
         self.tok, self.glued, self.model = tokenizer, glued, tokenizer.model
         keep = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         rest = iter(range(256, 512))
         self.alphabet = {b: b if b in keep else next(rest) for b in range(256)}  # of byte-level vocabularies
-        self.words = Memo(self._of_model, words)
+        self.space = chr(self.alphabet[32])
         self.chunks = Memo(self._chunk, chunks)
         self.by_model = True
-        self.by_model = all(self._chunk(space + w + end) == self._raw(self._spelled(space + w + end)) for w in _PROBES for end in ("", ",", ".", "!") for space in (("", " ", "\n") if glued else ("",)))
+        probes = [f"{a}{w}{end}" for w in _PROBES for a in ("", "x ", "x\n", "x, ") for end in ("", ",", ".\ny", "! y")]
+        self.by_model = [self.encode(t) for t in probes] == [self._raw(t) for t in probes]
+        self.chunks.clear()
 
     def _raw(self, text: str) -> bytes:
         return array("I", self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
-    def _of_model(self, word: str) -> bytes:
-        """``word``: letters or a sign, perhaps behind a space or a new line."""
-        if self.glued or not word.isascii():
-            word = word.encode("utf-8").decode("latin-1").translate(self.alphabet)
-        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-
-    def _spelled(self, key: str) -> str:
-        """The text of a key: if glued, one with a leading space starts the text, one with a new line goes on with it, any other follows a space."""
-        return key if not self.glued or key[:1] == "\n" else key[1:] if key[:1] == " " else " " + key
+    def _spelled(self, word: str) -> str:
+        """A word in the characters of the vocabulary."""
+        return word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.alphabet)
 
     def _chunk(self, key: str) -> bytes:
-        head = key[:1] if self.glued and key[:1] in " \n" else ""
-        found = _WORD(key, len(head))
-        if not found or not self.by_model:
-            return self._raw(self._spelled(key))
-        word, sign = found.groups()
-        ids = self.words[word.lower() if not self.glued else word if head else " " + word]
-        if head == "\n":
-            ids = self.words[head] + ids
-        return ids + self.words[sign] if sign else ids
+        bare = key[:1] == _BARE if self.glued else True
+        text = key[1:] if key[:1] == _BARE and self.glued else key
+        if not self.by_model or not _WORD(text):
+            return self._raw(text if bare else " " + text)
+        word = self._spelled(text if self.glued else text.lower())
+        return array("I", [t.id for t in self.model.tokenize(word if bare else self.space + word)]).tobytes()
 
     def _slices(self, text: str) -> Iterator[list[str]]:
-        at, first = 0, True
+        at = 0
         while True:
             end = text.find(" ", at + SLICE) if len(text) - at > SLICE else -1
             part = text[at:end] if end >= 0 else text[at:] if at else text
-            # White space in front of a new line is ruled out, or else dropped by the tokenizer as the new line is
-            part = (part.replace("\n", " \n") if self.glued else part.replace("\n", " ")).split(" ")
-            if first and self.glued:
-                part[0] = " " + part[0]
-            yield part
+            # White space around a new line is ruled out, or else dropped by the tokenizer as the new line is
+            if self.glued:
+                if self.by_model:
+                    part = _SIGN(f" {_BARE}\\1", part)
+                part = part.replace("\n", f" {_BARE}\n {_BARE}")
+                yield (part if at else _BARE + part).split(" ")
+            else:
+                if self.by_model:
+                    part = _SIGN(r" \1", part)
+                part = part.replace("\n", " ")
+                yield (part.lower() if part.isascii() else part).split(" ")
             if end < 0:
                 return
-            at, first = end + 1, False
+            at = end + 1
 
     @staticmethod
     def _parted(text: str) -> bool:
         """Whether every space and new line stands alone, behind what is not white space."""
-        if text[:1].isspace() or "  " in text or "\n " in text or " \n" in text or "\n\n" in text:
+        if text[:1].isspace() or "  " in text or "\n " in text or " \n" in text or "\n\n" in text or _BARE in text:
             return False
         return not any(c in text for c in _RARE) or _SPACED(text) is None
 
