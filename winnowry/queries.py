@@ -15,11 +15,12 @@ from .functions import signals as S
 from .functions.hashing import split_of, stable_float, text_hash
 from .functions.text import clean, inspect, json_string, preview, shortened
 from .operators import drift, review, rules, simhash, stats
-from .operators.dedup import dedup, dedup_texts
+from .operators.dedup import dedup, dedup_stats, dedup_texts, open_dedup
 from .operators.sampling import offered, reservoir, smallest, with_ordinal
 from .plans.decisions import decide
 from .scratch import Scratch
-from .settings import REASONS, SPLITS, Settings
+from .settings import REASONS, RULE_REASONS, SPLITS, Policy, Settings
+from .sources import corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -429,6 +430,103 @@ def near_dup_members(spark, sf_dir):
     return placed.join(placed.groupBy("label").agg(F.count("*").alias("size")), "label").select("doc_id", "id", "fp", "label", "size")
 
 
+def _split_docs(spark, sf_dir) -> DataFrame:
+    """Distinct texts in two splits."""
+    return _distinct_docs(spark, sf_dir).withColumn("split", F.when(F.col("id") % 2 == 0, "train").otherwise("test"))
+
+
+_J = f"s AS (SELECT id, {_SET} AS s FROM u), j AS (SELECT pairs.*, len(list_intersect(a.s, b.s)) AS common, len(a.s) + len(b.s) AS total, id_a % 2 <> id_b % 2 AS cross_split FROM pairs JOIN s a ON a.id = id_a JOIN s b ON b.id = id_b)"
+
+
+@query("near_dup_ranked", f"""WITH {C_PAIRS}, {_J}, r AS (SELECT *, common::DOUBLE / (total - common) AS jaccard FROM j)
+SELECT row_number() OVER (ORDER BY distance, jaccard DESC, id_a, id_b) AS rank, id_a, id_b, jaccard, cross_split FROM r""")
+def near_dup_ranked(spark, sf_dir):
+    found, _ = simhash.find_near_duplicates(_split_docs(spark, sf_dir), SEED)
+    order = F.struct("distance", (-F.col("jaccard")).alias("j"), "id_a", "id_b")
+    return with_ordinal(found.withColumn("_at", order), "_at", "rank").select("rank", "id_a", "id_b", "jaccard", "cross_split")
+
+
+@query("near_dup_summary", f"""WITH RECURSIVE {C_PAIRS}, e AS (SELECT id_a AS x, id_b AS y FROM pairs UNION ALL SELECT id_b, id_a FROM pairs),
+reach AS (SELECT x AS id, x AS r FROM e UNION SELECT reach.id, e.y FROM reach JOIN e ON e.x = reach.r),
+label AS (SELECT id, min(r) AS label FROM reach GROUP BY id), sizes AS (SELECT label, count(*) AS n FROM label GROUP BY label)
+SELECT (SELECT count(*) FROM u) AS indexed, (SELECT count(*) FROM pairs) AS pairs, (SELECT count(*) FROM pairs WHERE id_a % 2 <> id_b % 2) AS cross_split, (SELECT count(*) FROM sizes) AS clusters, (SELECT coalesce(max(n), 0) FROM sizes) AS largest""")
+def near_dup_summary(spark, sf_dir):
+    docs = _split_docs(spark, sf_dir)
+    return simhash.summary(docs, *simhash.find_near_duplicates(docs, SEED))
+
+
+# ---- readers and what else is asked of decisions
+
+
+def _rows(spark, sf_dir) -> DataFrame:
+    return corpus.read_shards(spark, [f"{sf_dir}/documents.parquet"], Settings(id_field="doc_id", domain_field="source"))
+
+
+@query("shard_rows", "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS seq, doc_id::VARCHAR AS id, source AS domain, text FROM documents")
+def shard_rows(spark, sf_dir):
+    return _rows(spark, sf_dir)
+
+
+@query("shard_rows_without_fields", "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS seq, 'missing_' || (row_number() OVER (ORDER BY doc_id) - 1) AS id, 'unknown' AS domain, text FROM documents")
+def shard_rows_without_fields(spark, sf_dir):
+    return corpus.read_shards(spark, [f"{sf_dir}/documents.parquet"], Settings(id_field="no_id", domain_field="no_domain"))
+
+
+@query("scan_limit", "SELECT doc_id::VARCHAR AS id FROM documents ORDER BY doc_id LIMIT 150")
+def scan_limit(spark, sf_dir):
+    return corpus.scan_limited(_rows(spark, sf_dir), 150).select("id")
+
+
+@query("jsonl_texts", "SELECT text FROM documents")
+def jsonl_texts(spark, sf_dir):
+    path = Scratch(spark, "jsonl").path("lines")
+    raw(spark, sf_dir).select(json_string(F.col("text")).alias("value")).write.option("lineSep", "\n").text(path)
+    return corpus.read_jsonl(spark, path).select("text")
+
+
+@query("distribution_csv", "SELECT 'a \"' || source || '\", b' AS domain, count(*) AS inspected, count(*) FILTER (lang = 'en') AS accepted FROM documents GROUP BY source")
+def distribution_csv(spark, sf_dir):
+    path = Scratch(spark, "distribution").path("csv")
+    rows = raw(spark, sf_dir).select(F.format_string('a "%s", b', "source").alias("domain"), F.when(F.col("lang").eqNullSafe("en"), F.lit(None)).otherwise(F.lit("other")).alias("reason"))
+    stats.domain_distribution(rows).write.option("header", True).option("escape", '"').csv(path)
+    return corpus.read_distribution(spark, path)
+
+
+_AGAINST = {"strict": tuple(RULE_REASONS), "lenient": ("foreign_script_dominant",), "off": ()}
+_POLICY_SQL = ", ".join(f"coalesce({_INSPECT}{''.join(f', CASE WHEN {_MET[r]} THEN {chr(39)}{r}{chr(39)} END' for r in _MET if r in on)}) AS {name}" for name, on in _AGAINST.items())
+
+
+@query("policy_reasons", f"WITH {C_SIGNALS} SELECT seq AS doc_id, {_POLICY_SQL} FROM sig")
+def policy_reasons(spark, sf_dir):
+    rows = dirty(spark, sf_dir).withColumn("t", clean(F.col("text")))
+    cols = S.rule_signals(F.col("t"))
+    rows = rows.select("seq", "text", "t", *[c.alias(k) for k, c in cols.items()])
+    by = {name: rules.reason_of(F.col("text"), F.col("t"), {k: F.col(k) for k in cols}, policy=Policy(**{r: r in on for r in RULE_REASONS})) for name, on in _AGAINST.items()}
+    return rows.select(F.col("seq").alias("doc_id"), *[c.alias(name) for name, c in by.items()])
+
+
+@query("too_long", f"WITH {C_CLEAN} SELECT seq AS doc_id, coalesce({_INSPECT}, CASE WHEN length(text) > 2000 THEN 'too_long' END) AS reason FROM cleaned")
+def too_long(spark, sf_dir):
+    rows = dirty(spark, sf_dir).withColumn("cleaned", clean(F.col("text")))
+    return rows.select(F.col("seq").alias("doc_id"), inspect(F.col("text"), F.col("cleaned"), max_chars=2000).alias("reason"))
+
+
+@query("dedup_counts", "SELECT count(DISTINCT text) AS ids_retained, count(DISTINCT text) AS hashes_retained, 0::BIGINT AS duplicate_ids, count(*) - count(DISTINCT text) AS duplicate_texts FROM documents")
+def dedup_counts(spark, sf_dir):
+    rows = raw(spark, sf_dir).select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("id"), text_hash(F.col("text")).alias("text_hash"))
+    return dedup_stats(open_dedup("sqlite")(rows))
+
+
+@query("top_domains", f"WITH {_DRIFT} SELECT domain, retained_n FROM drift WHERE retained_n > 0 ORDER BY retained_n DESC, domain LIMIT 12")
+def top_domains(spark, sf_dir):
+    return drift.top_domains(_drift(spark, sf_dir)).select("domain", "retained_n")
+
+
+@query("length_stats_compat", "SELECT count(*) AS count, min(n) AS min, max(n) AS max, avg(n) AS mean, " + ", ".join(f"quantile_cont(n, {p}) AS {c}" for c, p in (("median", 0.5), ("p90", 0.9), ("p95", 0.91), ("p99", 0.92))) + " FROM (SELECT length(text) AS n FROM documents)")
+def length_stats_compat(spark, sf_dir):
+    return stats.length_summary(raw(spark, sf_dir).select(F.length("text").alias("character_count")), compat_percentiles=True)
+
+
 # ---- release checks
 
 
