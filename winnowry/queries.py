@@ -1,7 +1,8 @@
 """Queries over the driver's tables for the curation operators, and SQL that states the same for DuckDB.
 
-The raw documents hold few of the things that cleaning and rules are about.  ``DIRTY`` alters each text by doc_id % 12
-in SQL that Spark and DuckDB both run, so that every branch is taken.
+The raw documents hold few of the things that cleaning and rules are about.  ``DIRTY`` adds some to each whole text, by
+doc_id % 12, in SQL that Spark and DuckDB both run, and ``ADDED`` are a few rows beside the documents that are null,
+short, or without a letter; so every branch is taken and no document loses text of its own.
 """
 
 from __future__ import annotations
@@ -32,13 +33,12 @@ DIRTY = f"""CASE doc_id % 12
  WHEN 2 THEN chr(1) || replace(text, 'e', 'e' || chr(31))
  WHEN 3 THEN replace(text, 'e', 'é')
  WHEN 4 THEN text || '{chr(0xFFFD) * 3}'
- WHEN 5 THEN substr(text, 1, 1000) || repeat('​', 10)
- WHEN 6 THEN substr(text, 1, 10) || repeat('Привет ', 20)
- WHEN 7 THEN repeat('!?. ', 10)
- WHEN 8 THEN NULL
- WHEN 9 THEN 'abcde'
+ WHEN 5 THEN replace(text, ' ', ' ​') || repeat('​', 10)
+ WHEN 6 THEN replace(text, ' ', ' Привет ') || repeat('Привет ', 20)
  WHEN 10 THEN chr(10) || replace(text, chr(10), chr(10) || chr(10) || ' ' || chr(10) || chr(10)) || chr(10)
  ELSE text || ' <p class=x>see</p> https://a.example/p?q=1 or www.b.example/x, A?b c?d e?f ' END"""
+#: doc_id, source, text of rows beside the documents.
+ADDED = "(VALUES (-1, 'added', repeat('!?. ', 10)), (-2, 'added', CAST(NULL AS STRING)), (-3, 'added', 'abcde'), (-4, 'added', ''), (-5, 'added', ' ')) AS x(doc_id, source, text)"
 CAPACITY, SEED = 300, 42
 SETTINGS = Settings(max_documents=CAPACITY, seed=SEED)
 WS, WSL = S.WS, S.WS.removeprefix(r"\n")
@@ -60,11 +60,12 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty(spark: SparkSession, sf_dir: str, id_sql: str = "CAST(doc_id AS STRING)") -> DataFrame:
     """seq, id, domain, text."""
-    return raw(spark, sf_dir).selectExpr("doc_id AS seq", f"{id_sql} AS id", "source AS domain", f"{DIRTY} AS text")
+    added = spark.sql(f"SELECT CAST(doc_id AS LONG) AS seq, {id_sql} AS id, source AS domain, text FROM {ADDED}")
+    return raw(spark, sf_dir).selectExpr("doc_id AS seq", f"{id_sql} AS id", "source AS domain", f"{DIRTY} AS text").unionByName(added)
 
 
 # What several statements of SQL begin with.
-C_DIRTY = f"dirty AS (SELECT doc_id AS seq, doc_id::VARCHAR AS id, source AS domain, {DIRTY} AS raw FROM documents)"
+C_DIRTY = f"dirty AS (SELECT doc_id AS seq, doc_id::VARCHAR AS id, source AS domain, {DIRTY} AS raw FROM documents UNION ALL SELECT doc_id, doc_id::VARCHAR, source, text FROM {ADDED})"
 _ENDS = "regexp_replace(raw, '\\r\\n?', chr(10), 'g')"
 _PLAIN = f"regexp_replace(nfc_normalize({_ENDS}), '[\\x00-\\x08\\x0b-\\x1f\\x7f-\\x9f]', '', 'g')"
 _LINES = f"regexp_replace(regexp_replace(regexp_replace({_PLAIN}, '[\\t ]+', ' ', 'g'), '(^|\\n) ', '\\1', 'g'), '[{WSL}]+(\\n|\\z)', '\\1', 'g')"
@@ -182,7 +183,7 @@ def dedup_by_text(spark, sf_dir):
     return dedup_texts(rows).select(F.col("seq").alias("doc_id"), "duplicate")
 
 
-@query("dedup_greedy", """WITH RECURSIVE r AS (SELECT row_number() OVER (ORDER BY doc_id) AS k, doc_id, doc_id % 700 AS id, dense_rank() OVER (ORDER BY text) AS h FROM documents),
+@query("dedup_greedy", """WITH RECURSIVE r AS (SELECT row_number() OVER (ORDER BY doc_id) AS k, doc_id, doc_id // 3 AS id, dense_rank() OVER (ORDER BY text) AS h FROM documents),
  walk AS (SELECT 0::BIGINT AS k, NULL::BIGINT AS doc_id, NULL::VARCHAR AS duplicate, []::BIGINT[] AS ids, []::BIGINT[] AS hs
   UNION ALL SELECT r.k, r.doc_id, CASE WHEN list_contains(w.ids, r.id) THEN 'duplicate_id' WHEN list_contains(w.hs, r.h) THEN 'duplicate_text' END,
    CASE WHEN list_contains(w.ids, r.id) OR list_contains(w.hs, r.h) THEN w.ids ELSE list_append(w.ids, r.id) END,
@@ -190,7 +191,7 @@ def dedup_by_text(spark, sf_dir):
   FROM walk w JOIN r ON r.k = w.k + 1)
 SELECT doc_id, duplicate FROM walk WHERE k > 0""")
 def dedup_greedy(spark, sf_dir):
-    rows = raw(spark, sf_dir).selectExpr("doc_id AS seq", "CAST(doc_id % 700 AS STRING) AS id", "sha2(text, 256) AS text_hash")
+    rows = raw(spark, sf_dir).selectExpr("doc_id AS seq", "CAST(doc_id div 3 AS STRING) AS id", "sha2(text, 256) AS text_hash")
     return dedup(rows).select(F.col("seq").alias("doc_id"), "duplicate")
 
 
@@ -530,10 +531,10 @@ def length_stats_compat(spark, sf_dir):
 # ---- release checks
 
 
-@query("release_uniqueness", """WITH r AS (SELECT 'even' AS split, (doc_id % 300)::VARCHAR AS id, text FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT 'odd', (doc_id % 300)::VARCHAR, text FROM documents WHERE doc_id % 2 = 1)
+@query("release_uniqueness", """WITH r AS (SELECT 'even' AS split, (doc_id // 3)::VARCHAR AS id, text FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT 'odd', (doc_id // 3)::VARCHAR, text FROM documents WHERE doc_id % 2 = 1)
 SELECT coalesce(split, 'all') AS split, count(*) AS rows, count(*) - count(DISTINCT id) AS extra_ids, count(*) - count(DISTINCT text) AS extra_hashes FROM r GROUP BY GROUPING SETS ((split), ())""")
 def release_uniqueness(spark, sf_dir):
-    return stats.uniqueness(raw(spark, sf_dir).selectExpr("CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS split", "CAST(doc_id % 300 AS STRING) AS id", "sha2(text, 256) AS text_hash"))
+    return stats.uniqueness(raw(spark, sf_dir).selectExpr("CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS split", "CAST(doc_id div 3 AS STRING) AS id", "sha2(text, 256) AS text_hash"))
 
 
 @query("round_trip_mismatches", "SELECT count(*) FILTER (doc_id % 97 = 0) AS mismatches FROM documents")
@@ -545,7 +546,7 @@ def round_trip_mismatches(spark, sf_dir):
     return mismatches(lines, rows)
 
 
-_TOKENS = "CASE doc_id % 9 WHEN 0 THEN text || ' hf_' || repeat('aB3', 8) WHEN 1 THEN text || ' see /Users/some.one-x/y' WHEN 2 THEN 'ghp_' || repeat('Z', 20) || ' sk-' || repeat('q1', 12) WHEN 3 THEN text || ' .venv/bin hf_short' ELSE text END"
+_TOKENS = "CASE doc_id % 9 WHEN 0 THEN text || ' hf_' || repeat('aB3', 8) WHEN 1 THEN text || ' see /Users/some.one-x/y' WHEN 2 THEN text || ' ghp_' || repeat('Z', 20) || ' sk-' || repeat('q1', 12) WHEN 3 THEN text || ' .venv/bin hf_short' ELSE text END"
 
 
 def _secret_sql() -> str:
