@@ -1,8 +1,8 @@
 """Fuzzy line deduplication by MinHash over character shingles.
 
-Lines are compared in lower case with white space collapsed; those shorter than ``min_chars`` are left alone.  With 1,
-as ``op6_line_dedup`` has it, every line that is not blank takes part; the pipeline's stage leaves lines under
-``MIN_CHARS``.  Lines that are equal so are one class, whatever their number.  A class shorter than a shingle has no
+Lines are compared in lower case with white space collapsed.  Every line that is not blank takes part, in
+``op6_line_dedup`` as in the pipeline's stage; with ``min_chars``, those that are shorter are left alone.
+Lines that are equal so are one class, whatever their number.  A class shorter than a shingle has no
 other relative; each other class has a MinHash signature over its character shingles; bands of minima give
 candidates, whose Jaccard similarity is computed from the lines themselves.  Linked classes form components, and of
 each component the first line stays: the one with the least doc_id, then the least line number.  All its other lines
@@ -37,7 +37,6 @@ SIGNED = 128
 REMEMBERED = 200_000
 #: Tables of repeated lines are broadcast up to this size, at 64 bytes a row.
 BROADCAST_BYTES = 32 << 20
-MIN_CHARS = 30
 #: Characters hashed at a time.
 STEP = 1 << 17
 

@@ -12,8 +12,8 @@ First each item outside a key's largest label is verified against the likeliest
 What then has another label near it, or stands in a key of several blocks, is *open*, and open items are compared by
 an exact prefix filter: the elements of each set are ordered by how rare they are among open items, rarest first; two
 sets of n elements that reach the threshold t must share one of the first n - ceil(t n) + 1, and behind the first one
-they share enough elements must be left.  Pairs that pass are confirmed on full sets.  So rows follow the sizes of
-sets, not of groups: members of a group of near copies that differ by rare elements of their own meet nowhere.  No
+they share enough elements must be left.  Entries carry the items' signatures, and pairs that these and the filter
+allow are confirmed on full sets.  So rows follow the sizes of sets, not of groups: members of a group of near copies that differ by rare elements of their own meet nowhere.  No
 pair of items of one label is ever looked at, and every pair under a common key whose signatures allow the threshold
 is in the end either in one label or known not to be linked.
 """
@@ -125,8 +125,11 @@ class MinHash:
 
     def keys(self, minima: np.ndarray) -> np.ndarray:
         """Items x minima to items x bands of 64-bit keys."""
-        m = minima.reshape(len(minima), self.shape.bands, self.shape.rows).astype(np.uint64)
-        k = (m * self.odd).sum(axis=2, dtype=np.uint64) ^ self.salt
+        m = minima.reshape(len(minima), self.shape.bands, self.shape.rows)
+        k = np.zeros(m.shape[:2], np.uint64)
+        for r in range(self.shape.rows):
+            k += m[:, :, r] * self.odd[r]
+        k ^= self.salt
         k = (k ^ (k >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         k = (k ^ (k >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return k ^ (k >> np.uint64(31))
@@ -390,14 +393,15 @@ def best_pairs(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame
 
 
 def open_items(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame:
-    """id, label, asks: items that may be linked to an item of another label under a common key."""
+    """id, label, asks, s0..: items that may be linked to an item of another label under a common key."""
     least = shape.least_estimate(threshold)
+    sigs = [f"s{w}" for w in range(shape.words)]
 
     def found(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for block in _blocks(batches, shape):
-            ids, labels, _, _, asks, split = block
+            ids, labels, _, codes, asks, split = block
             if split:  # its other blocks are not seen here
                 wanted, asking = np.ones(len(ids), bool), asks.astype(bool)
             else:
@@ -407,9 +411,11 @@ def open_items(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame
                         asking[i] = wanted[i] = True
                         wanted[near] = True
             if wanted.any():
-                yield pa.RecordBatch.from_arrays([pa.array(ids[wanted]), pa.array(labels[wanted]), pa.array(asking[wanted])], ["id", "label", "asks"])
+                own = codes[wanted].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[wanted]), pa.array(labels[wanted]), pa.array(asking[wanted]), *[pa.array(own[:, w].copy()) for w in range(shape.words)]], ["id", "label", "asks", *sigs])
 
-    return meetings.mapInArrow(lean(found), "id long, label long, asks boolean").groupBy("id", "label").agg(F.max("asks").alias("asks"))
+    seen = meetings.mapInArrow(lean(found), "id long, label long, asks boolean, " + ", ".join(f"{s} long" for s in sigs))
+    return seen.groupBy("id", "label").agg(F.max("asks").alias("asks"), *[F.max(s).alias(s) for s in sigs])
 
 
 Fetch = Callable[[DataFrame, str], DataFrame]
@@ -469,16 +475,17 @@ def _rarity(items: DataFrame, sets: Sets) -> np.ndarray:
     return out
 
 
-def prefix_pairs(items: DataFrame, sets: Sets, threshold: float) -> DataFrame:
-    """Pairs (a, b) of different labels, one of which asks, that an exact prefix filter can't rule out.
+def prefix_pairs(items: DataFrame, shape: Shape, sets: Sets, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different labels, one of which asks, that neither an exact prefix filter nor their signatures rule out.
 
-    ``items``: id, label, asks, text, a written table.  Entries of an element that many items have are dealt over
+    ``items``: id, label, asks, text, s0.., a written table.  Entries of an element that many items have are dealt over
     several groups: each item that does not ask stands in one, an item that asks in all.
     """
     parts = partitions(items.sparkSession)
     rare = np.minimum(_rarity(items, sets), np.iinfo(np.uint32).max).astype(np.uint32)
     shared = items.sparkSession.sparkContext.broadcast(rare)
-    entry = np.dtype([("element", "<u8"), ("id", "<i8"), ("label", "<i8"), ("n", "<u4"), ("at", "<u4"), ("asks", "?")])
+    entry = np.dtype([("element", "<u8"), ("id", "<i8"), ("label", "<i8"), ("n", "<u4"), ("at", "<u4"), ("asks", "?"), ("codes", "<u8", (shape.words,))])
+    least, sigs = shape.least_estimate(threshold), [f"s{w}" for w in range(shape.words)]
 
     def produce(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -495,7 +502,8 @@ def prefix_pairs(items: DataFrame, sets: Sets, threshold: float) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["part", "rows"])
 
         for batch in batches:
-            for i, label, asks, t in zip(*(batch.column(c).to_pylist() for c in ("id", "label", "asks", "text")), strict=True):
+            codes = np.stack([batch.column(c).to_numpy() for c in sigs], axis=1).view(np.uint64)
+            for i, label, asks, t, own in zip(*(batch.column(c).to_pylist() for c in ("id", "label", "asks", "text")), codes, strict=True):
                 s = set_of(t)
                 n = len(s)
                 times = often[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
@@ -511,7 +519,7 @@ def prefix_pairs(items: DataFrame, sets: Sets, threshold: float) -> DataFrame:
                         turn = (_mixed(s ^ np.uint64(i & 0xFFFFFFFFFFFFFFFF)) % groups.astype(np.uint64)).astype(np.int64)
                 rows = np.empty(len(at), entry)
                 rows["element"] = s[at] + turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                rows["id"], rows["label"], rows["n"], rows["at"], rows["asks"] = i, label, n, at, asks
+                rows["id"], rows["label"], rows["n"], rows["at"], rows["asks"], rows["codes"] = i, label, n, at, asks, own
                 held.append(rows)
                 count += len(rows)
                 if count >= GATHERED:
@@ -532,7 +540,7 @@ def prefix_pairs(items: DataFrame, sets: Sets, threshold: float) -> DataFrame:
         size = np.diff(np.append(start, len(rows)))
         low, high = np.repeat(start, size), np.repeat(start + size, size)
         n, left = rows["n"].astype(np.int64), rows["n"].astype(np.int64) - rows["at"]  # elements from this one on
-        ids, labels, asks = rows["id"], rows["label"], rows["asks"]
+        ids, labels, asks, codes = rows["id"], rows["label"], rows["asks"], rows["codes"]
         who = np.flatnonzero(asks & (high - low > 1))
         # who asks meets its element's items, some at a time
         a, at, end = [], [], []
@@ -557,11 +565,13 @@ def prefix_pairs(items: DataFrame, sets: Sets, threshold: float) -> DataFrame:
             # behind the first element that both have, enough must be left
             need = threshold / (1 + threshold) * (n[x] + n[y]) - 1e-6
             ok = (np.minimum(left[x], left[y]) >= need) & (np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]) - 1e-6)
+            x, y = x[ok], y[ok]
+            ok = shape.estimates(codes[x], codes[y]) >= least
             if ok.any():
                 pairs = np.unique(np.sort(np.stack([ids[x[ok]], ids[y[ok]]], axis=1), axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    sent = items.select("id", "label", "asks", "text").mapInArrow(lean(produce), "part int, rows binary")
+    sent = items.select("id", "label", "asks", "text", *sigs).mapInArrow(lean(produce), "part int, rows binary")
     return sent.repartitionById(parts, "part").mapInArrow(lean(meet), "a long, b long").distinct()
 
 
@@ -591,6 +601,6 @@ def groups(members: DataFrame, signatures: DataFrame, shape: Shape, threshold: f
     open_ = scratch.table(open_items(met, shape, threshold), "open")
     if open_.isEmpty():
         return labels
-    items = scratch.table(fetch(scratch.table(open_.select("id"), "open-ids"), "open").join(open_, "id").select("id", "label", "asks", "text"), "open-items")
-    more = scratch.table(verified(prefix_pairs(items, sets, threshold), fetch, sets, test, scratch, "rest"), "rest-links")
+    items = scratch.table(fetch(scratch.table(open_.select("id"), "open-ids"), "open").join(open_, "id"), "open-items")
+    more = scratch.table(verified(prefix_pairs(items, shape, sets, threshold), fetch, sets, test, scratch, "rest"), "rest-links")
     return joined(labels, more, "third")
