@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import struct
@@ -16,7 +17,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from winnowry.llm import bpe, kdsearch, langid, linededup, neardup, packing, quality, queries, secrets, spotsigs, token_store, tokens
+from winnowry.llm import bpe, kdsearch, langid, linededup, links, neardup, packing, quality, queries, secrets, spotsigs, token_store, tokens
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, id string, label int, key long"
 ODD = ["", None, " ", "  a  b ", "Ünïcode — ﬁne 😀 don't STOP 123,456", "x" * 5000, "tab\tand\nline  \n", "<|endoftext|> inside", "é ΑΣ", "word " * 3000]
@@ -290,6 +291,51 @@ def test_pairs_of_lines_at_the_threshold_are_found(spark):
     assert got == sum(len(a & b) >= 0.8 * len(a | b) for a, b in sets) > 1400
 
 
+def test_lines_below_the_threshold_do_not_meet_by_the_square_of_their_group(spark):
+    # variants of one line by words of a small vocabulary, most of them alike by 0.5 to 0.75, some by 0.8 and more
+    rng = random.Random(4)
+    known = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 8))) for _ in range(25)]
+    word = lambda: rng.choice(known)
+    changed = lambda words, n: [word() if i in hit else w for hit in [set(rng.sample(range(len(words)), n))] for i, w in enumerate(words)]
+    line = [word() for _ in range(60)]
+    words = [changed(line, 6) for _ in range(150)]
+    words += [changed(w, 2) for w in words[:20]]
+    lines = [" ".join(w) for w in words]
+    shape = links.Shape.for_rows(50_000, 0.8, linededup.SIGNED)
+    mh = links.MinHash(shape)
+    codes = mh.packed(linededup.minima_of(lines, mh)).view(np.int64)
+    items = spark.createDataFrame([(i, i, True, x, *map(int, codes[i])) for i, x in enumerate(lines)], "id long, label long, asks boolean, text string, " + ", ".join(f"s{w} long" for w in range(shape.words)))
+    got = {(r["a"], r["b"]) for r in links.prefix_pairs(items, shape, lambda: linededup.shingle_hashes, 0.8).collect()}
+    sets = [set(linededup.shingle_hashes(x).tolist()) for x in lines]
+    like = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in itertools.combinations(range(len(lines)), 2)}
+    linked = {p for p, j in like.items() if j >= 0.8 - 1e-9}
+    assert len(linked) > 15 and linked <= got
+    assert sum(0.5 < j < 0.8 for j in like.values()) > 10_000
+    assert len(got) < 500, (len(got), len(linked))
+
+
+def test_parities_rule_out_no_pair_at_the_threshold():
+    rng = np.random.default_rng(8)
+    shape = links.Shape(5, 38)
+    parities, mh = links.Parities(shape, 0.8), links.MinHash(shape)
+    pairs = []
+    for n in [1, 2, 5, 9, 40, 41, 42, 43, 85, 86, 300, 341, 342, 1365, 1366, 3700, 4096, 4097, 6000]:
+        for m in {n, int(0.8 * n), int(0.9 * n)} - {0}:
+            a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            least = math.ceil(0.8 * (n + m) / 1.8 - 1e-9)  # elements in common at the threshold
+            if least <= m:
+                pairs.append((a, np.concatenate((a[:least], rng.integers(0, 1 << 63, m - least, dtype=np.uint64)))))
+        pairs.append((a, rng.integers(0, 1 << 63, n, dtype=np.uint64)))
+    flat = [s for p in pairs for s in p]
+    made = [parities.of(s, mh.packed(mh.minima(s)[None])[0]) for s in flat]
+    count = np.array([len(w) for _, w in made])
+    x = np.arange(0, len(flat), 2)
+    n = np.array([len(s) for s in flat])
+    ok = parities.allow(np.concatenate([w for _, w in made]), np.cumsum(count) - count, np.array([r for r, _ in made], np.uint8), n, x, x + 1)
+    alike = np.array([len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)) - 1e-9 for a, b in pairs])
+    assert ok[alike].all() and not ok[~alike & (n[x] > 9)].any()
+
+
 # ---- 7
 
 

@@ -12,14 +12,17 @@ First each item outside a key's largest label is verified against the likeliest
 What then has another label near it, or stands in a key of several blocks, is *open*, and open items are compared by
 an exact prefix filter: the elements of each set are ordered by how rare they are among open items, rarest first; two
 sets of n elements that reach the threshold t must share one of the first n - ceil(t n) + 1, and behind the first one
-they share enough elements must be left.  Entries carry the items' signatures, and pairs that these and the filter
-allow are confirmed on full sets.  So rows follow the sizes of sets, not of groups: members of a group of near copies that differ by rare elements of their own meet nowhere.  No
+they share enough elements must be left.  Each set sends its parities (``Parities``) along, which bound from below how
+many elements two sets differ by; pairs that these and the filter allow are confirmed on full sets.  So rows follow
+the sizes of sets and the number of pairs near the threshold: members of a group of near copies whose likeness is well
+below it leave no row, though those with rare elements in common are looked at, in memory, pair by pair.  No
 pair of items of one label is ever looked at, and every pair under a common key whose signatures allow the threshold
 is in the end either in one label or known not to be linked.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -475,8 +478,123 @@ def _rarity(items: DataFrame, sets: Sets) -> np.ndarray:
     return out
 
 
+class Parities:
+    """Parities of sets, by which most pairs under the threshold are ruled out for certain.
+
+    A set has one bit for each value of some bits of its elements' hashes: whether an odd number of elements has it.
+    What two sets have in common cancels out, so they differ in no more bits than in elements; halves folded by xor
+    are the parities of half as many values.  Sets of over ``LARGEST`` elements have their signature instead, whose
+    size is fixed, and a set of either kind is not compared with one of the other here.
+    """
+
+    LARGEST = 4096
+    #: Rank of a signature; parities of rank k have 64 << k bits.
+    SIGNED = 255
+
+    def __init__(self, shape: Shape, threshold: float):
+        self.shape, self.threshold, self.least = shape, threshold, shape.least_estimate(threshold)
+
+    def of(self, s: np.ndarray, codes: np.ndarray) -> tuple[int, np.ndarray]:
+        """Rank and words of a set: three bits for each two elements at least, three times that at most."""
+        if len(s) > self.LARGEST:
+            return self.SIGNED, codes
+        rank = max(0, math.ceil(math.log2(max(1.5 * len(s), 1) / 64)))
+        odd = np.bincount((s >> np.uint64(20)).astype(np.int64) & ((64 << rank) - 1), minlength=64 << rank) & 1
+        return rank, np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+    def allow(self, words: np.ndarray, start: np.ndarray, rank: np.ndarray, n: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether the sets x and y, one by one, may reach the threshold; their words begin at ``start``."""
+        ok = np.ones(len(x), bool)
+        rx, ry = rank[x], rank[y]
+        both = np.flatnonzero((rx == self.SIGNED) & (ry == self.SIGNED))
+        for at in range(0, len(both), PAIRS // 16):
+            some = both[at : at + PAIRS // 16]
+            span = np.arange(self.shape.words)
+            ok[some] = self.shape.estimates(words[start[x[some], None] + span], words[start[y[some], None] + span]) >= self.least
+        sided = (rx != self.SIGNED) & (ry != self.SIGNED)
+        low = np.minimum(rx, ry)
+        for k in np.unique(low[sided]):
+            some_k = np.flatnonzero(sided & (low == k))
+            step = max(1, PAIRS >> int(k))
+            for at in range(0, len(some_k), step):
+                some = some_k[at : at + step]
+                differ = np.bitwise_count(self._folded(words, start, rank, x[some], int(k)) ^ self._folded(words, start, rank, y[some], int(k))).sum(axis=1, dtype=np.int64)
+                # sets at the threshold t differ in (1 - t) / (1 + t) of their elements, counted in both
+                ok[some] = differ <= (1 - self.threshold) / (1 + self.threshold) * (n[x[some]] + n[y[some]]) + 1e-6
+        return ok
+
+    @staticmethod
+    def _folded(words: np.ndarray, start: np.ndarray, rank: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+        span = np.arange(1 << k)
+        out = words[start[x, None] + span]
+        for fold in range(1, 1 << (int(rank[x].max()) - k)):
+            more = np.flatnonzero(fold < 1 << (rank[x].astype(np.int64) - k))
+            out[more] ^= words[start[x[more], None] + (fold << k) + span]
+        return out
+
+
+#: What travels of an element of a set, and of a set to each partition that has an element of it.
+ENTRY = np.dtype([("element", "<u8"), ("item", "<u4"), ("at", "<u4")])
+SET = np.dtype([("id", "<i8"), ("label", "<i8"), ("n", "<u4"), ("asks", "?"), ("rank", "u1")])
+#: Bytes of entries and sets that a task gathers before it sends them on.
+GATHERED_BYTES = 1 << 26
+
+
+def under_elements(rows: np.ndarray, own: np.ndarray, words: np.ndarray, parities: Parities) -> Iterator[np.ndarray]:
+    """Pairs of ids (two columns, the lesser first) under common elements of a partition: entries, sets and their words.
+
+    An entry looks only at sets of a size that leaves enough elements behind it.
+    """
+    t = parities.threshold
+    n = own["n"].astype(np.int64)
+    count = np.where(own["rank"] == Parities.SIGNED, parities.shape.words, 1 << np.minimum(own["rank"], 32).astype(np.int64))
+    start = np.cumsum(count) - count
+    rows = rows[np.lexsort((n[rows["item"]], rows["element"]))]
+    item = rows["item"].astype(np.int64)
+    left = n[item] - rows["at"]  # elements from this one on
+    first = _starts(rows["element"])
+    size = np.diff(np.append(first, len(rows)))
+    place = np.repeat(np.arange(len(first)), size) << 32 | n[item]
+    who = np.flatnonzero(own["asks"][item] & np.repeat(size > 1, size))
+    nw, group = n[item[who]], place[who] >> 32 << 32
+    least = np.ceil(t * nw - 1e-5).astype(np.int64)
+    most = np.floor(np.minimum((nw + 1e-5) / t, (left[who] + 1e-5) * (1 + t) / t - nw)).astype(np.int64)
+    begin, stop = np.searchsorted(place, group | np.maximum(least, 0)), np.searchsorted(place, group | np.maximum(most, 0), "right")
+    # some at a time, of one entry as of many
+    long = np.maximum(0, -(-(stop - begin) // PAIRS))
+    a = np.repeat(who, long)
+    turn = np.arange(len(a)) - np.repeat(np.cumsum(long) - long, long)
+    at = np.repeat(begin, long) + turn * PAIRS
+    end = np.minimum(at + PAIRS, np.repeat(stop, long))
+    total = np.cumsum(end - at)
+    held, pairs, k = [], 0, 0
+    while k < len(a):
+        to = max(k + 1, int(np.searchsorted(total, (total[k - 1] if k else 0) + PAIRS, "right")))
+        length = end[k:to] - at[k:to]
+        x = np.repeat(a[k:to], length)
+        y = np.repeat(at[k:to] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+        k = to
+        ix, iy = item[x], item[y]
+        ok = own["label"][ix] != own["label"][iy]
+        ok &= ~(own["asks"][iy] & (own["id"][iy] < own["id"][ix]))
+        # behind the first element that both have, enough must be left
+        ok &= np.minimum(left[x], left[y]) >= t / (1 + t) * (n[ix] + n[iy]) - 1e-6
+        # a pair comes once, however many elements it shares here
+        one = np.unique(ix[ok] << 32 | iy[ok])
+        ix, iy = one >> 32, one & 0xFFFFFFFF
+        ok = parities.allow(words, start, own["rank"], n, ix, iy)
+        if ok.any():
+            held.append(np.sort(np.stack([own["id"][ix[ok]], own["id"][iy[ok]]], axis=1), axis=1))
+            pairs += len(held[-1])
+        if pairs >= PAIRS:
+            yield np.unique(np.concatenate(held), axis=0)
+            held, pairs = [], 0
+    if held:
+        yield np.unique(np.concatenate(held), axis=0)
+
+
 def prefix_pairs(items: DataFrame, shape: Shape, sets: Sets, threshold: float) -> DataFrame:
-    """Pairs (a, b) of different labels, one of which asks, that neither an exact prefix filter nor their signatures rule out.
+    """Pairs (a, b) of different labels, one of which asks, that neither an exact prefix filter nor their parities rule out.
 
     ``items``: id, label, asks, text, s0.., a written table.  Entries of an element that many items have are dealt over
     several groups: each item that does not ask stands in one, an item that asks in all.
@@ -484,28 +602,41 @@ def prefix_pairs(items: DataFrame, shape: Shape, sets: Sets, threshold: float) -
     parts = partitions(items.sparkSession)
     rare = np.minimum(_rarity(items, sets), np.iinfo(np.uint32).max).astype(np.uint32)
     shared = items.sparkSession.sparkContext.broadcast(rare)
-    entry = np.dtype([("element", "<u8"), ("id", "<i8"), ("label", "<i8"), ("n", "<u4"), ("at", "<u4"), ("asks", "?"), ("codes", "<u8", (shape.words,))])
-    least, sigs = shape.least_estimate(threshold), [f"s{w}" for w in range(shape.words)]
+    sigs = [f"s{w}" for w in range(shape.words)]
+    parities = Parities(shape, threshold)
 
     def produce(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        set_of, often, held, count = sets(), shared.value, [], 0
+        set_of, often = sets(), shared.value
+        held, own, words, weight = [], [], [], 0
 
-        def blobs():
-            rows = np.concatenate(held)
+        def blobs() -> Iterator:
+            rows, known = np.concatenate(held), np.array(own, SET)
+            count = np.array([len(w) for w in words])
+            start, flat = np.cumsum(count) - count, np.concatenate(words)
             to = (_mixed(rows["element"]) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             rows, to = rows[order], to[order]
             bounds = np.searchsorted(to, np.arange(parts + 1))
-            found = [(p, rows[bounds[p] : bounds[p + 1]].tobytes()) for p in range(parts) if bounds[p] < bounds[p + 1]]
-            return pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["part", "rows"])
+            for p in np.flatnonzero(np.diff(bounds)):
+                sent = rows[bounds[p] : bounds[p + 1]]
+                here, sent["item"] = np.unique(sent["item"], return_inverse=True)
+                c = count[here]
+                at = np.repeat(start[here] - (np.cumsum(c) - c), c) + np.arange(int(c.sum()))
+                yield int(p), sent.tobytes(), known[here].tobytes(), flat[at].tobytes()
+
+        def batches_of(found: Iterator) -> Iterator:
+            for some in iter(lambda: list(itertools.islice(found, 64)), []):
+                p, *rest = zip(*some, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), *[pa.array(r, pa.binary()) for r in rest]], ["part", "rows", "sets", "words"])
 
         for batch in batches:
             codes = np.stack([batch.column(c).to_numpy() for c in sigs], axis=1).view(np.uint64)
-            for i, label, asks, t, own in zip(*(batch.column(c).to_pylist() for c in ("id", "label", "asks", "text")), codes, strict=True):
+            for i, label, asks, t, code in zip(*(batch.column(c).to_pylist() for c in ("id", "label", "asks", "text")), codes, strict=True):
                 s = set_of(t)
                 n = len(s)
+                rank, own_words = parities.of(s, code)
                 times = often[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 first = np.lexsort((s, times))[: n - math.ceil(threshold * n - 1e-9) + 1]
                 s, groups = s[first], 1 + times[first].astype(np.int64) // HOT
@@ -517,61 +648,37 @@ def prefix_pairs(items: DataFrame, shape: Shape, sets: Sets, threshold: float) -
                         turn = np.arange(len(at)) - np.repeat(np.cumsum(groups) - groups, groups)
                     else:
                         turn = (_mixed(s ^ np.uint64(i & 0xFFFFFFFFFFFFFFFF)) % groups.astype(np.uint64)).astype(np.int64)
-                rows = np.empty(len(at), entry)
+                rows = np.empty(len(at), ENTRY)
                 rows["element"] = s[at] + turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                rows["id"], rows["label"], rows["n"], rows["at"], rows["asks"], rows["codes"] = i, label, n, at, asks, own
+                rows["item"], rows["at"] = len(own), at
                 held.append(rows)
-                count += len(rows)
-                if count >= GATHERED:
-                    yield blobs()
-                    held, count = [], 0
+                own.append((i, label, n, asks, rank))
+                words.append(own_words)
+                weight += rows.nbytes + min(parts, len(rows)) * (SET.itemsize + own_words.nbytes)
+                if weight >= GATHERED_BYTES:
+                    yield from batches_of(blobs())
+                    held, own, words, weight = [], [], [], 0
         if held:
-            yield blobs()
+            yield from batches_of(blobs())
 
     def meet(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        rows = [np.frombuffer(b, entry) for batch in batches for b in batch.column("rows").to_pylist()]
+        rows, own, words, known = [], [], [], 0
+        for batch in batches:
+            for r, o, w in zip(*(batch.column(c).to_pylist() for c in ("rows", "sets", "words")), strict=True):
+                rows.append(np.frombuffer(r, ENTRY).copy())
+                rows[-1]["item"] += np.uint32(known)
+                own.append(np.frombuffer(o, SET))
+                words.append(np.frombuffer(w, np.uint64))
+                known += len(own[-1])
         if not rows:
             return
-        rows = np.concatenate(rows)
-        rows = rows[np.argsort(rows["element"], kind="stable")]
-        start = _starts(rows["element"])
-        size = np.diff(np.append(start, len(rows)))
-        low, high = np.repeat(start, size), np.repeat(start + size, size)
-        n, left = rows["n"].astype(np.int64), rows["n"].astype(np.int64) - rows["at"]  # elements from this one on
-        ids, labels, asks, codes = rows["id"], rows["label"], rows["asks"], rows["codes"]
-        who = np.flatnonzero(asks & (high - low > 1))
-        # who asks meets its element's items, some at a time
-        a, at, end = [], [], []
-        for k in range(0, int((high - low)[who].max(initial=0)), PAIRS):
-            more = who[(high - low)[who] > k]
-            a.append(more)
-            at.append(low[more] + k)
-            end.append(np.minimum(low[more] + k + PAIRS, high[more]))
-        if not a:
-            return
-        a, at, end = map(np.concatenate, (a, at, end))
-        total = np.cumsum(end - at)
-        begin = 0
-        while begin < len(a):
-            stop = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + PAIRS, "right")))
-            length = end[begin:stop] - at[begin:stop]
-            x = np.repeat(a[begin:stop], length)
-            y = np.repeat(at[begin:stop] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-            begin = stop
-            ok = (labels[x] != labels[y]) & ~(asks[y] & (ids[y] < ids[x]))
-            x, y = x[ok], y[ok]
-            # behind the first element that both have, enough must be left
-            need = threshold / (1 + threshold) * (n[x] + n[y]) - 1e-6
-            ok = (np.minimum(left[x], left[y]) >= need) & (np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]) - 1e-6)
-            x, y = x[ok], y[ok]
-            ok = shape.estimates(codes[x], codes[y]) >= least
-            if ok.any():
-                pairs = np.unique(np.sort(np.stack([ids[x[ok]], ids[y[ok]]], axis=1), axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    sent = items.select("id", "label", "asks", "text", *sigs).mapInArrow(lean(produce), "part int, rows binary")
+        rows, own, words = map(np.concatenate, (rows, own, words))
+        for pairs in under_elements(rows, own, words, parities):
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    sent = items.select("id", "label", "asks", "text", *sigs).mapInArrow(lean(produce), "part int, rows binary, sets binary, words binary")
     return sent.repartitionById(parts, "part").mapInArrow(lean(meet), "a long, b long").distinct()
 
 
