@@ -291,6 +291,65 @@ def test_pairs_of_lines_at_the_threshold_are_found(spark):
     assert got == sum(len(a & b) >= 0.8 * len(a | b) for a, b in sets) > 1400
 
 
+def test_minima_of_lines_take_one_product_a_shingle():
+    rng = random.Random(3)
+    lines = ["".join(rng.choices("abcd eé😀", k=rng.randint(5, 90))) for _ in range(300)] + ["abcde", "x" * 700]
+    mh = links.MinHash(links.Shape.for_rows(50_000, 0.8, linededup.SIGNED))
+    got = linededup.minima_of(lines, mh)
+    h, begin, count = linededup.codes_of(lines)
+    assert list(count) == [len(x) - 4 for x in lines]
+    for i in range(len(lines)):
+        least = (mh.a * (h[begin[i] : begin[i] + count[i]] | np.uint32(1))[None]).min(axis=1) >> np.uint32(1)
+        assert (got[i] == least ^ (least >> np.uint32(9))).all()
+
+
+def test_minima_of_lines_agree_as_often_as_sets_are_alike():
+    rng = np.random.default_rng(5)
+    mh = links.MinHash(links.Shape.for_rows(250_000, 0.8, linededup.SIGNED))
+    for n in [16, 60, 400]:
+        off = []
+        for _ in range(200):
+            a = "".join(map(chr, rng.integers(97, 123, n)))
+            b = a[: n * 9 // 10] + "".join(map(chr, rng.integers(97, 123, n - n * 9 // 10)))
+            x, y = (linededup.shingle_hashes(t) for t in (a, b))
+            j = len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+            m = linededup.minima_of([a, b], mh)
+            if 0 < j < 1:
+                off.append(((m[0] == m[1]).sum() - j * mh.shape.minima) / (mh.shape.minima * j * (1 - j)) ** 0.5)
+        assert len(off) > 150 and abs(np.mean(off)) < 0.3 and np.std(off) < 1.25, n
+
+
+def test_blocks_are_compared_whole_whatever_the_batches(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    shape = links.Shape(5, 38)
+    size = [1, 2, 3, 40, 5, 700, 2, 9] * 3
+    n = sum(size)
+    codes = rng.integers(0, 1 << 62, (12, shape.words))[rng.integers(0, 12, n)]
+    label = rng.integers(0, 9, n)
+    cols = {"key": np.repeat(np.arange(len(size)) // 2, size), "block": np.repeat(np.arange(len(size)) % 2, size), "id": np.arange(n), "label": label, "size": np.bincount(label)[label], "asks": rng.random(n) < 0.5, "split": np.zeros(n, bool)} | {f"s{w}": codes[:, w].copy() for w in range(shape.words)}
+    table = pa.table(cols)
+    monkeypatch.setattr(links, "MET", 50)
+    found = set()
+    for c, start, count in links._blocks(table.to_batches(max_chunksize=37), shape):
+        for x, y, _ in links._nearest(c, start, count, c["asks"], shape, 0.9):
+            found |= set(zip(c["id"][x].tolist(), c["id"][y].tolist(), strict=True))
+    of = np.repeat(np.arange(len(size)), size)
+    larger = lambda i, j: (cols["size"][j], label[j]) > (cols["size"][i], label[i])
+    same = {(i, j) for i in range(n) if cols["asks"][i] for j in np.flatnonzero(of == of[i]).tolist() if larger(i, j) and (codes[i] == codes[j]).all()}
+    assert found == same and len(same) > 1000
+
+
+def test_white_space_that_is_collapsed_is_seen():
+    rng = random.Random(2)
+    for chars in ["aB \n", "a \n\t", "aΣ\n\xa0", "a \n\x1c\u2003", "é \n\x85\r"]:
+        for _ in range(400):
+            t = "".join(rng.choices(chars, k=rng.randint(0, 12)))
+            for least in (1, 3):
+                assert list(linededup.eligible(t, least)) == [(i, n) for i, x in enumerate(t.split("\n")) if len(x) >= least and len(n := linededup.normal(x)) >= least], repr(t)
+
+
 def test_lines_below_the_threshold_do_not_meet_by_the_square_of_their_group(spark):
     # variants of one line by words of a small vocabulary, most of them alike by 0.5 to 0.75, some by 0.8 and more
     rng = random.Random(4)

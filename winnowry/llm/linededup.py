@@ -31,6 +31,10 @@ from . import links
 from .common import Scratch, lean
 
 SHINGLE = 5
+#: No character has this number.
+OUTSIDE = np.uint64(0x1FFFFF)
+#: White space that a normal form doesn't have.
+UNEVEN = ("  ", " \n", "\n ", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"))
 #: Minima of which low bits are kept for the estimate.
 SIGNED = 128
 #: Lines whose text a task remembers to have written.
@@ -47,8 +51,11 @@ def normal(line: str) -> str:
 
 def eligible(text: str, min_chars: int) -> Iterator[tuple[int, str]]:
     """Line numbers from 0 and normal forms of the lines that take part."""
+    form = normal
+    if not any(x in text for x in UNEVEN) and text.strip(" ") == text:
+        form = str.lower  # there is nothing to collapse
     for i, line in enumerate(text.split("\n")):
-        if len(line) >= min_chars and len(n := normal(line)) >= min_chars:
+        if len(line) >= min_chars and len(n := form(line)) >= min_chars:
             yield i, n
 
 
@@ -71,7 +78,8 @@ def codes_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def minima_of(lines: list[str], mh: links.MinHash) -> np.ndarray:
-    out = np.zeros((len(lines), mh.shape.minima), np.uint32)
+    """Minima of odd multiples of odd hashes: numbers of 32 bits in another order, the last bit (1) left out."""
+    out = np.empty((mh.shape.minima, len(lines)), np.uint32)
     at = 0
     while at < len(lines):
         end, chars = at, 0
@@ -79,26 +87,39 @@ def minima_of(lines: list[str], mh: links.MinHash) -> np.ndarray:
             chars += len(lines[end])
             end += 1
         h, begin, count = codes_of(lines[at:end])
-        cuts = np.empty(2 * (end - at), np.int64)
-        cuts[::2], cuts[1::2] = begin, begin + count
-        y = np.empty_like(h)
+        first = np.cumsum(count) - count
+        x = h[np.repeat(begin - first, count) + np.arange(int(count.sum()))] | np.uint32(1)
+        y = np.empty_like(x)
         for k in range(mh.shape.minima):
-            np.multiply(h, mh.a[k, 0], out=y)
-            y += mh.b[k, 0]
-            out[at:end, k] = np.minimum.reduceat(y, cuts)[::2]
+            np.multiply(x, mh.a[k, 0], out=y)
+            np.minimum.reduceat(y, first, out=out[k, at:end])
         at = end
-    return out
+    # the last bits of a product depend on few bits of its factors; the signature takes the last two
+    out >>= np.uint32(1)
+    out ^= out >> np.uint32(9)
+    return np.ascontiguousarray(out.T)
 
 
 def shingle_hashes(line: str) -> np.ndarray:
     """The set of a line's shingles, as sorted distinct 64-bit hashes."""
     chars = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    n = min(SHINGLE, len(chars))
-    h = np.zeros(max(0, len(chars) - n + 1), np.uint64)
-    for k in range(n):
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + chars[k : len(chars) - n + 1 + k] + np.uint64(1)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    return np.unique(h ^ (h >> np.uint64(31)))
+    if len(chars) < SHINGLE:
+        chars = np.append(chars, np.full(SHINGLE - len(chars), OUTSIDE)) if len(chars) else chars
+    n = max(0, len(chars) - SHINGLE + 1)
+    # a character has 21 bits: three and two of them make two numbers
+    two = chars[1:] << np.uint64(21)
+    two |= chars[:-1]
+    h = chars[2 : 2 + n] << np.uint64(42)
+    h |= two[:n]
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    h += two[3 : 3 + n]
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(31)
+    h.sort()
+    return h[np.append(True, h[1:] != h[:-1])] if n else h
 
 
 def _seen(rows: DataFrame, min_chars: int) -> DataFrame:
@@ -193,10 +214,13 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, min_chars: int = 1, sha
     rows = keyed.select("_id", "_row", F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     gone = scratch.table(repeated_lines(rows, threshold, min_chars, shape, scratch).groupBy("_id", "_row").agg(F.collect_set("_line").alias("_gone")), "gone")
     scratch.drop("bands", "seen")
-    joined = keyed.alias("d").join(gone.alias("g"), (F.col("d._row") == F.col("g._row")) & F.col("d._id").eqNullSafe(F.col("g._id")), "left")
+    # by hash: the texts are not sorted
+    joined = keyed.alias("d").join(gone.alias("g").hint("shuffle_hash"), (F.col("d._row") == F.col("g._row")) & F.col("d._id").eqNullSafe(F.col("g._id")), "left")
     lines = F.split(F.col(f"d.`{text_col}`"), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("g._gone", i)), "\n")
     text = F.when(F.col("g._gone").isNull(), F.col(f"d.`{text_col}`")).otherwise(kept)
     made = [text.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in docs.columns]
-    n_lines = F.when(F.col(f"d.`{text_col}`").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long")
+    # line ends are one byte each: only texts that lose lines are split
+    ends = F.octet_length(f"d.`{text_col}`") - F.octet_length(F.replace(F.col(f"d.`{text_col}`"), F.lit("\n"), F.lit("")))
+    n_lines = F.coalesce(ends + 1, F.lit(0)).cast("long")
     return joined.select(*made, n_lines.alias("n_lines"), F.coalesce(F.size("g._gone"), F.lit(0)).cast("long").alias("n_removed"))

@@ -49,6 +49,8 @@ NUMBER = 16
 COUNTERS, HOT = 1 << 20, 1 << 20
 #: Pairs looked at in one go.
 PAIRS = 1 << 20
+#: Rows of blocks that a task gathers before it compares them; a block is whole.
+MET = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -94,7 +96,7 @@ class Shape:
     def estimates(self, one: np.ndarray, many: np.ndarray) -> np.ndarray:
         """As likeness, of one packed signature with each of many."""
         x = many ^ one
-        differ = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
+        differ = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1, dtype=np.int64)
         return (1 - differ / self.signed - 0.25) / 0.75
 
     def least_estimate(self, threshold: float) -> float:
@@ -293,16 +295,22 @@ def band(rows: DataFrame, sketcher: Callable[[], Sketcher], shape: Shape, extra:
         start = _starts(both >> np.uint64(bits))
         del both
         size = np.diff(np.append(start, len(order)))
+        waits = m[order[start]]
+        # most keys have one item, behind which no others wait
+        shown = np.flatnonzero((size > 1) | waits)
+        start, size = start[shown], size[shown]
+        if not len(start):
+            return
+        at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        order = order[at]
+        start = np.cumsum(size) - size
         waits = np.logical_or.reduceat(m[order], start)
-        shown = (size > 1) | waits
         pair = (size == 2) & ~waits
-        first = order[start]
-        key, by = k[first], np.minimum((_mixed(k[first]) % size.astype(np.uint64)).astype(np.int64), size - 1)
+        key = k[order[start]]
+        by = np.minimum((_mixed(key) % size.astype(np.uint64)).astype(np.int64), size - 1)
         pivot = i[order[start + by]]
         for x in range(0, len(start), PAIRS):
-            runs = np.flatnonzero(shown[x : x + PAIRS]) + x
-            if not len(runs):
-                continue
+            runs = np.arange(x, min(x + PAIRS, len(start)))
             n = size[runs]
             at = np.repeat(start[runs] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
             who, of, two = i[order[at]], np.repeat(pivot[runs], n), np.repeat(pair[runs], n)
@@ -320,61 +328,90 @@ def star_pairs(members: DataFrame, signatures: DataFrame, shape: Shape, threshol
     sigs = [f"s{w}" for w in range(shape.words)]
     a = signatures.select("id", *[F.col(s).alias(f"a{s}") for s in sigs])
     b = signatures.select(F.col("id").alias("pivot"), *[F.col(s).alias(f"b{s}") for s in sigs])
-    seen = pairs.join(a, "id").join(b, "pivot").select("id", "pivot", "pair", shape.likeness("a", "b").alias("e")).filter(F.col("e") >= shape.least_estimate(threshold))
+    seen = pairs.join(a.hint("shuffle_hash"), "id").join(b.hint("shuffle_hash"), "pivot").select("id", "pivot", "pair", shape.likeness("a", "b").alias("e")).filter(F.col("e") >= shape.least_estimate(threshold))
     # An item has one pivot for each band at most
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("e"), "pivot"))
     return seen.withColumn("r", rank).filter((F.col("r") <= PARTNERS) | F.col("pair")).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
 
 
-def _meetings(members: DataFrame, labels: DataFrame, signatures: DataFrame, shape: Shape, scratch: Scratch, name: str) -> DataFrame:
-    """Keys of three items or more with different labels, dealt in blocks; ``asks``: the item is outside the key's largest label."""
+def _meetings(held: DataFrame, labels: DataFrame, signatures: DataFrame | None, shape: Shape, scratch: Scratch, name: str) -> DataFrame:
+    """Keys of three items or more with different labels, dealt in blocks; ``asks``: the item is outside the key's largest label.
+
+    ``held``: distinct (key, id), with s0.. if there are no ``signatures`` to take them from.
+    """
+    sigs = [f"s{w}" for w in range(shape.words)]
+    own = [] if signatures is not None else sigs
     sizes = labels.groupBy("label").count().withColumnRenamed("count", "size")
     sized = labels.join(sizes, "label").select("id", "label", "size")
-    held = members.filter("not pair").select("key", "id").distinct().join(sized, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
+    held = held.join(sized.hint("shuffle_hash"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"), F.coalesce("size", F.lit(1)).alias("size"), *own)
     held = scratch.table(held, f"{name}-held")
     keys = held.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("size", "label")).alias("main"), F.count("*").alias("n")).filter("low <> high")
     keys = keys.select("key", F.col("main.label").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    sigs = [f"s{w}" for w in range(shape.words)]
-    active = held.join(keys, "key").join(signatures.select("id", *sigs), "id")
+    active = held.join(keys.hint("shuffle_hash"), "key")
+    if signatures is not None:
+        active = active.join(signatures.select("id", *sigs).hint("shuffle_hash"), "id")
     block = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int").alias("block")
     active = active.select("key", block, "id", "label", "size", *sigs, (F.col("label") != F.col("main")).alias("asks"), (F.col("blocks") > 1).alias("split"))
     return scratch.table(active.repartition(partitions(labels.sparkSession), "key", "block").sortWithinPartitions("key", "block"), f"{name}-active")
 
 
-def _blocks(batches: Iterator, shape: Shape) -> Iterator[tuple]:
-    """ids, labels, sizes, signatures, asks, split of each block; blocks come sorted and may go on over batches."""
-    names = ["id", "label", "size", "asks", "split", *[f"s{w}" for w in range(shape.words)]]
-    here, parts = None, []
+def _blocks(batches: Iterator, shape: Shape) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
+    """Columns of some whole blocks, where each begins, and how many rows it has; blocks come sorted and may go on over batches."""
+    sigs = [f"s{w}" for w in range(shape.words)]
+    names = ["key", "block", "id", "label", "size", "asks", "split"]
+    held, rows = [], 0
+
+    def joined() -> dict:
+        return {n: np.concatenate([h[n] for h in held]) for n in held[0]}
+
+    def some(cols: dict, start: np.ndarray, end: int) -> tuple:
+        return {n: c[:end] for n, c in cols.items()}, start, np.diff(np.append(start, end))
 
-    def joined() -> tuple:
-        c = [np.concatenate([p[n] for p in parts]) for n in names]
-        return c[0], c[1], c[2], np.stack(c[5:], axis=1).view(np.uint64), c[3], bool(c[4][0])
+    def starts(cols: dict) -> np.ndarray:
+        key, block = cols["key"], cols["block"]
+        return np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (block[1:] != block[:-1])))
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        cols = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("key", "block", *names)}
-        new = np.append(True, (cols["key"][1:] != cols["key"][:-1]) | (cols["block"][1:] != cols["block"][:-1]))
-        start = np.flatnonzero(new)
-        for a, b in zip(start, np.append(start[1:], len(new)), strict=True):
-            place = (cols["key"][a], cols["block"][a])
-            if parts and place != here:
-                yield joined()
-                parts = []
-            here = place
-            parts.append({n: cols[n][a:b] for n in names})
-    if parts:
-        yield joined()
-
-
-def _nearest(block: tuple, shape: Shape, least: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Of each item that asks: its place, the places of items of larger labels that are near it, and the estimates."""
-    _, labels, sizes, codes, asks, _ = block
-    for i in np.flatnonzero(asks):
-        ok = np.flatnonzero((sizes > sizes[i]) | ((sizes == sizes[i]) & (labels > labels[i])))
-        e = shape.estimates(codes[i], codes[ok])
-        near = e >= least
-        yield i, ok[near], e[near]
+        cols = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
+        held.append(cols | {"codes": np.stack([batch.column(c).to_numpy() for c in sigs], axis=1).view(np.uint64)})
+        rows += batch.num_rows
+        if rows < MET:
+            continue
+        cols = joined()
+        start = starts(cols)
+        if len(start) > 1:  # the last one may go on
+            yield some(cols, start[:-1], start[-1])
+            cols = {n: c[start[-1] :] for n, c in cols.items()}
+        held, rows = [cols], 0
+    if held:
+        cols = joined()
+        start = starts(cols)
+        yield some(cols, start, len(cols["key"]))
+
+
+def _nearest(cols: dict, start: np.ndarray, count: np.ndarray, asks: np.ndarray, shape: Shape, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of items that ask, places of items of larger labels that are near them in their blocks, and the estimates.
+
+    All pairs of an item that asks come together, in order.
+    """
+    labels, sizes, codes = cols["label"], cols["size"], cols["codes"]
+    begin, n = np.repeat(start, count), np.repeat(count, count)
+    who = np.flatnonzero(asks)
+    total = np.cumsum(n[who])
+    k = 0
+    while k < len(who):
+        to = max(k + 1, int(np.searchsorted(total, (total[k - 1] if k else 0) + PAIRS // 4, "right")))
+        i, c = who[k:to], n[who[k:to]]
+        k = to
+        x = np.repeat(i, c)
+        y = np.repeat(begin[i] - (np.cumsum(c) - c), c) + np.arange(int(c.sum()))
+        ok = np.flatnonzero((sizes[y] > sizes[x]) | ((sizes[y] == sizes[x]) & (labels[y] > labels[x])))
+        x, y = x[ok], y[ok]
+        e = shape.estimates(codes[x], codes[y])
+        near = np.flatnonzero(e >= least)
+        yield x[near], y[near], e[near]
 
 
 def best_pairs(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame:
@@ -384,10 +421,12 @@ def best_pairs(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame
     def best(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for block in _blocks(batches, shape):
-            out = [(int(block[0][i]), int(block[0][near[e.argmax()]]), float(e.max())) for i, near, e in _nearest(block, shape, least) if len(near)]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["id", "other", "e"])
+        for cols, start, count in _blocks(batches, shape):
+            for x, y, e in _nearest(cols, start, count, cols["asks"], shape, least):
+                if len(x):
+                    order = np.lexsort((y, -e, x))
+                    first = order[_starts(x[order])]
+                    yield pa.RecordBatch.from_arrays([pa.array(cols["id"][x[first]]), pa.array(cols["id"][y[first]]), pa.array(e[first])], ["id", "other", "e"])
 
     # One row for each key of an item at most
     seen = meetings.mapInArrow(lean(best), "id long, other long, e double").distinct()
@@ -403,19 +442,15 @@ def open_items(meetings: DataFrame, shape: Shape, threshold: float) -> DataFrame
     def found(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for block in _blocks(batches, shape):
-            ids, labels, _, codes, asks, split = block
-            if split:  # its other blocks are not seen here
-                wanted, asking = np.ones(len(ids), bool), asks.astype(bool)
-            else:
-                wanted, asking = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
-                for i, near, _ in _nearest(block, shape, least):
-                    if len(near):
-                        asking[i] = wanted[i] = True
-                        wanted[near] = True
+        for cols, start, count in _blocks(batches, shape):
+            # the other blocks of a key are not seen here
+            split, asks = cols["split"].astype(bool), cols["asks"].astype(bool)
+            wanted, asking = split.copy(), split & asks
+            for x, y, _ in _nearest(cols, start, count, asks & ~split, shape, least):
+                asking[x] = wanted[x] = wanted[y] = True
             if wanted.any():
-                own = codes[wanted].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[wanted]), pa.array(labels[wanted]), pa.array(asking[wanted]), *[pa.array(own[:, w].copy()) for w in range(shape.words)]], ["id", "label", "asks", *sigs])
+                own = cols["codes"][wanted].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(cols["id"][wanted]), pa.array(cols["label"][wanted]), pa.array(asking[wanted]), *[pa.array(own[:, w].copy()) for w in range(shape.words)]], ["id", "label", "asks", *sigs])
 
     seen = meetings.mapInArrow(lean(found), "id long, label long, asks boolean, " + ", ".join(f"{s} long" for s in sigs))
     return seen.groupBy("id", "label").agg(F.max("asks").alias("asks"), *[F.max(s).alias(s) for s in sigs])
@@ -443,7 +478,9 @@ def verified(pairs: DataFrame, fetch: Fetch, sets: Sets, test: Test, scratch: Sc
                 if ta != last:  # pairs of one text come together
                     last, a = ta, set_of(ta)
                 b = set_of(tb)
-                ok.append(test(len(a), len(b), len(np.intersect1d(a, b, assume_unique=True))))
+                both = np.concatenate((a, b))
+                both.sort()
+                ok.append(test(len(a), len(b), int(np.count_nonzero(both[1:] == both[:-1]))))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     with_b = pairs.join(needed.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
@@ -702,9 +739,10 @@ def groups(members: DataFrame, signatures: DataFrame, shape: Shape, threshold: f
         every = labels.unionByName(held.select(F.col("a").alias("id"), F.col("la").alias("label"))).unionByName(held.select(F.col("b").alias("id"), F.col("lb").alias("label"))).distinct()
         return scratch.table(every.join(top, "label", "left").select("id", F.coalesce("to", "label").alias("label")), f"{name}-labels")
 
-    met = _meetings(members, labels, signatures, shape, scratch, "best")
+    met = _meetings(members.filter("not pair").select("key", "id").distinct(), labels, signatures, shape, scratch, "best")
     labels = joined(labels, scratch.table(verified(best_pairs(met, shape, threshold), fetch, sets, test, scratch, "best"), "best-links"), "second")
-    met = _meetings(members, labels, signatures, shape, scratch, "rest")
+    # labels have only grown together: a key of one label before is one still
+    met = _meetings(met.select("key", "id", *[f"s{w}" for w in range(shape.words)]), labels, None, shape, scratch, "rest")
     open_ = scratch.table(open_items(met, shape, threshold), "open")
     if open_.isEmpty():
         return labels
