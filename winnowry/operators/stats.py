@@ -10,8 +10,8 @@ from ..settings import REASONS, SPLITS
 
 def _every(df: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
     """A count for each of a closed set of values, 0 where there is none; in the set's order."""
-    spark = df.sparkSession
-    dim = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"place int, {column} string")
+    # rows of the plan itself: a list given to createDataFrame starts Python workers
+    dim = df.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(v) for v in values])).alias("place", column))
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     return dim.join(counts, column, "left").orderBy("place").select(column, F.coalesce("n", F.lit(0)).alias("n"))
 

@@ -22,13 +22,16 @@ def inspected(rows: DataFrame, settings: Settings) -> DataFrame:
     return raw.withColumn("reason", reason).withColumn("text_hash", F.when(F.col("reason").isNull(), text_hash(F.col("text"))))
 
 
-def decide(rows: DataFrame, settings: Settings, assume_unique_ids: bool | None = None) -> DataFrame:
+def decide(rows: DataFrame, settings: Settings, assume_unique_ids: bool | None = None, texts: bool = True) -> DataFrame:
     """seq, id, domain, raw, text, text_hash, character_count, reason, i, slot, retained, split.
 
     The cleaned rows are written once.  What decides (ids and hashes) goes through the shuffles without texts.
+    ``texts``: whether raw and text are among the columns; for statistics they are not even written.
     """
     scratch = Scratch(rows.sparkSession, "decisions")
-    first = scratch.table(inspected(rows, settings).withColumn("character_count", F.length("text").cast("long")), "inspected")
+    both = ("raw", "text") if texts else ()
+    first = inspected(rows, settings).withColumn("character_count", F.length("text").cast("long"))
+    first = scratch.table(first.select("seq", "id", "domain", *both, "text_hash", "character_count", "reason"), "inspected")
     keys = first.filter("reason is null").select("seq", "id", "text_hash")
     after = dedup(keys, assume_unique_ids).select("seq", "duplicate")
     after = scratch.table(after, "duplicates")
@@ -38,4 +41,4 @@ def decide(rows: DataFrame, settings: Settings, assume_unique_ids: bool | None =
     light = after.join(places, "seq", "left").join(winners, "i", "left").select("seq", "duplicate", "i", "slot", F.coalesce("_won", F.lit(False)).alias("retained"))
     out = first.join(light, "seq", "left").withColumn("reason", F.coalesce("reason", "duplicate")).withColumn("retained", F.coalesce("retained", F.lit(False)))
     split = F.when(F.col("retained"), split_of(F.col("id"), settings.seed, settings.train_ratio, settings.val_ratio))
-    return out.select("seq", "id", "domain", "raw", "text", "text_hash", "character_count", "reason", "i", "slot", "retained", split.alias("split"))
+    return out.select("seq", "id", "domain", *both, "text_hash", "character_count", "reason", "i", "slot", "retained", split.alias("split"))
