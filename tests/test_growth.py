@@ -70,3 +70,14 @@ def test_cleaning_and_counts_as_plain_patterns_have_them(spark):
              (S.count_beyond(t, S.VIETNAMESE_RANGES), S.count(t, S.VIETNAMESE)), (S.count_beyond(t, r"\p{M}"), S.count(t, r"\p{M}")), (S.vni_count(t), F.size(F.array_distinct(F.regexp_extract_all(t, F.lit(S.VNI), F.lit(0)))).cast("long"))]
     got = rows.filter(t.isNotNull()).select(*[F.count_if(~a.eqNullSafe(b)) for a, b in pairs]).first()
     assert tuple(got) == (0,) * len(pairs)
+
+
+AUDITED = {"longest_docs": 2, "audit_samples": 7, "review_by_signal": 9, "review_packet": 9}
+
+
+@pytest.mark.parametrize("name", AUDITED)
+def test_an_audit_works_out_only_what_is_read(spark, sf_dir, monkeypatch, name):
+    no_python(monkeypatch)
+    seen = written(monkeypatch)
+    assert QUERIES[name](spark, sf_dir).count()
+    assert [len(c) for c in seen] == [2 + AUDITED[name]]  # pos, id and signals; no text

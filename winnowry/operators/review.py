@@ -46,11 +46,18 @@ def audit_samples(signals: DataFrame, seed: int = 42, random: int = RANDOM) -> D
     return signals.join(F.broadcast(names), "id").orderBy("reasons", "id")
 
 
+def ranked_longest(signals: DataFrame, take: int = 15) -> DataFrame:
+    """The longest rows, whatever columns they have, with their rank."""
+    top = signals.orderBy(F.desc("character_count"), "pos").limit(take)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("character_count"), "pos")))
+
+
 def longest(signals: DataFrame, take: int = 15, width: int = 400) -> DataFrame:
     """rank, id, domain, split, counts and a preview of the longest documents."""
-    top = signals.orderBy(F.desc("character_count"), "pos").limit(take)
-    place = F.row_number().over(Window.orderBy(F.desc("character_count"), "pos"))
-    return top.select(place.alias("rank"), "id", "domain", "split", "character_count", "line_count", "paragraph_count", "url_count", "url_char_ratio", "repeated_line_ratio", "repeated_paragraph_ratio", "html_tag_count", preview(F.col("text"), width).alias("preview"))
+    return ranked_longest(signals, take).select("rank", "id", "domain", "split", "character_count", "line_count", "paragraph_count", "url_count", "url_char_ratio", "repeated_line_ratio", "repeated_paragraph_ratio", "html_tag_count", preview(F.col("text"), width).alias("preview"))
+
+#: The signals that flags are told by.
+FLAG_SIGNALS = ("character_count", "line_count", "replacement_char_count", "unusual_unicode_count", "non_latin_script_share", "max_line_length", "vietnamese_diacritic_ratio", "alpha_ratio", "vni_pattern_count")
 
 
 def flags(th: Thresholds = Thresholds()) -> tuple[Column, dict[str, Column]]:
