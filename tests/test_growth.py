@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from winnowry.functions import signals as S
 from winnowry.functions.text import CONTROLS, clean, nfc
+from winnowry.operators import simhash
 from winnowry.queries import QUERIES
 
 
@@ -81,3 +82,63 @@ def test_an_audit_works_out_only_what_is_read(spark, sf_dir, monkeypatch, name):
     seen = written(monkeypatch)
     assert QUERIES[name](spark, sf_dir).count()
     assert [len(c) for c in seen] == [2 + AUDITED[name]]  # pos, id and signals; no text
+
+
+def flipped(rnd, base, bits):
+    for b in rnd.sample(range(64), bits):
+        base ^= 1 << b
+    return base
+
+
+def test_pairs_are_all_within_three_bits_and_few_meet(spark):
+    """Fingerprints that share a band of 16 bits but no two blocks never meet; every pair within three bits is found once."""
+    rnd = random.Random(3)
+    prints = [rnd.getrandbits(64) for _ in range(300)]
+    for base in prints[:40]:
+        prints += [flipped(rnd, base, k) for k in (0, 1, 2, 3, 3, 4)]
+    prints += [(rnd.getrandbits(48) << 16) | 7 for _ in range(1_500)]
+    prints = [x - (1 << 64) if x >> 63 else x for x in prints]
+    rows = spark.createDataFrame(list(enumerate(prints)) + [(-1, None)], "id long, fp long")
+    want = {(i, j, d) for i, x in enumerate(prints) for j in range(i + 1, len(prints)) if (d := ((x ^ prints[j]) & (1 << 64) - 1).bit_count()) <= 3}
+    found = simhash.pairs(rows)
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    # rows that meet by their keys, before the distance decides; by bands of 16 bits it is over a million
+    pairs_met = simhash.keyed(rows).groupBy("at", "key").count().selectExpr("sum(count * (count - 1) / 2) AS n").first().n
+    assert pairs_met < 20 * len(want)
+
+
+def test_fingerprints_as_they_are_defined(spark):
+    """Runs as numbers, many code points, short texts and long runs: all by the definition."""
+    import hashlib
+
+    def plain(t, n):
+        if t is None or not t:
+            return None if t is None else 0
+        runs = {t[i : i + n] for i in range(max(1, len(t) - n + 1))}
+        hashes = [int.from_bytes(hashlib.sha256(f"simhash|42|{r}".encode()).digest()[:8], "big") for r in runs]
+        fp = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        return fp - (1 << 64) if fp >> 63 else fp
+
+    rnd = random.Random(4)
+    texts = [None, "", "a", "abcd", "abcde", "€\U0001f600" * 9, "x" * 900, *["".join(rnd.choices("ab éạ\U0001f600", k=rnd.randint(1, 700))) for _ in range(60)], "".join(map(chr, range(0x10000, 0x10000 + 70_000)))]
+    for n in (2, 4, 6):
+        rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", simhash.fingerprint(F.col("t"), 42, n).alias("fp"))
+        assert [r.fp for r in rows.orderBy("i").collect()] == [plain(t, n) for t in texts]
+
+
+@pytest.mark.parametrize("name", ["near_dup_clusters", "near_dup_members", "near_dup_summary"])
+def test_clusters_need_no_likeness_of_sets(spark, sf_dir, monkeypatch, name):
+    monkeypatch.setattr(simhash, "with_jaccard", None)
+    seen = written(monkeypatch)
+    assert QUERIES[name](spark, sf_dir).count()
+    assert not [c for c in seen if "text" in c]
+
+
+@pytest.mark.parametrize("name", ["simhash", "near_dup_pairs", "near_dup_ranked"])
+def test_only_texts_of_pairs_are_shuffled(spark, sf_dir, monkeypatch, name):
+    seen = written(monkeypatch)
+    monkeypatch.setattr(simhash, "clusters", None)
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in "".join(x for x in plan.split("\n") if "Exchange" in x)
+    assert [c for c in seen if "text" in c] == ([] if name == "simhash" else [["id", "split", "text"]])

@@ -10,20 +10,10 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..scratch import Scratch, delete, shared_dir
-
-__all__ = ["Scratch", "delete", "shared_dir"]
-
-#: Rows, and bytes, in an Arrow batch handed to Python: texts may be long, so a batch holds few of them.
-ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
-
-
-def tuned(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches, as whole texts go to Python."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
-    return spark
+from ..scratch import ARROW_BYTES, ARROW_ROWS, BROADCAST_BYTES, Scratch, among, delete, shared_dir
+from ..scratch import small_batches as tuned
 
+__all__ = ["ARROW_BYTES", "ARROW_ROWS", "BROADCAST_BYTES", "Scratch", "among", "delete", "shared_dir", "tuned"]
 
 def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """The function of a mapInArrow, after which the worker gives memory it has freed back to the machine."""
@@ -42,17 +32,6 @@ def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
     return run
 
 
-#: Keys are broadcast up to this size, at 32 bytes each.
-BROADCAST_BYTES = 32 << 20
-
-
-def among(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """The rows whose ``on`` is in ``keys`` (distinct, a written table): by broadcast if their size allows, else by a shuffle."""
-    if keys.count() * 32 <= BROADCAST_BYTES:
-        keys = F.broadcast(keys)
-    return rows.join(keys, on, "left_semi")
-
-
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
