@@ -142,3 +142,21 @@ def test_only_texts_of_pairs_are_shuffled(spark, sf_dir, monkeypatch, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "text" not in "".join(x for x in plan.split("\n") if "Exchange" in x)
     assert [c for c in seen if "text" in c] == ([] if name == "simhash" else [["id", "split", "text"]])
+
+
+def test_runs_of_words_take_no_lambda_each(spark, sf_dir):
+    plan = QUERIES["quality_signals_repetition"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_join" not in plan and "ratio(" in plan
+
+
+def test_repeated_runs_of_words(spark):
+    from collections import Counter
+
+    rnd = random.Random(5)
+    ws = [" ", "\t", "\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", " ", " ", " ", " ", "　", "​", "᠎"]
+    texts = [None, "", " ", "a b", "a b c", "a b c a b c", "a " * 9_000, *["".join(rnd.choice("ab") + rnd.choice(ws) * rnd.randint(0, 2) for _ in range(rnd.randint(0, 40))) for _ in range(2_000)]]
+    t = F.col("t")
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", S.repeated_ngrams(t).alias("r"), S.tokens(t).alias("w")).orderBy("i").collect()
+    for i, r, w in rows:
+        c = Counter(zip(w or [], (w or [])[1:], (w or [])[2:]))
+        assert r == (sum(n for n in c.values() if n > 1) / len(c) if c else 0.0), texts[i]
