@@ -70,7 +70,7 @@ def test_cleaning_and_counts_as_plain_patterns_have_them(spark):
     more = [chr(c) for c in range(0x3100)]
     rows = rows.union(spark.createDataFrame([(-i, x) for i, x in enumerate(more)], "i int, t string"))
     pairs = [(S.by_ascii(t, "[0-9]", r"\p{N}"), S.count(t, r"\p{N}")), (S.by_ascii(t, S.PUNCTUATION, r"\p{P}"), S.count(t, r"\p{P}")), (S.blanks(t), S.count(t, r"[ \t\n\p{Zs}]")), (S.unusual(t, S.UNUSUAL), S.count(t, S.UNUSUAL)), (S.unusual(t, S.UNUSUAL_AUDIT), S.count(t, S.UNUSUAL_AUDIT)), (S.letters(t), S.count(t, r"\p{L}")),
-             (S.count_beyond(t, S.VIETNAMESE_RANGES), S.count(t, S.VIETNAMESE)), (S.count_beyond(t, r"\p{M}"), S.count(t, r"\p{M}")), (S.vni_count(t), F.size(F.array_distinct(F.regexp_extract_all(t, F.lit(S.VNI), F.lit(0)))).cast("long"))]
+             (S.vietnamese(t), S.count(t, S.VIETNAMESE)), (S.count_beyond(t, r"\p{M}"), S.count(t, r"\p{M}")), (S.vni_count(t), F.size(F.array_distinct(F.regexp_extract_all(t, F.lit(S.VNI), F.lit(0)))).cast("long"))]
     got = rows.filter(t.isNotNull()).select(*[F.count_if(~a.eqNullSafe(b)) for a, b in pairs]).first()
     assert tuple(got) == (0,) * len(pairs)
 
